@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millsheet.llm.canonical import map_rows, material_rows
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
 from millsheet.session import table
@@ -16,7 +17,20 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return top_n(e, [F.when(doc != "", doc), F.lower(F.trim("field"))], F.col("confidence"), F.col("ord"), F.col("entity_id"), 3).select(F.col("id").alias("entity_id"), "rank_no")
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
+def _materials(spark: SparkSession, sf: str) -> DataFrame:
+    return map_rows(material_rows(table(spark, sf, "extracted_entity"), table(spark, sf, "extraction_result")), table(spark, sf, "material_ref"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _materials(spark, sf).select("source_table", "row_id", "ref_id")
+
+
+def p6_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """How many values of each table name each entry, or none."""
+    return _materials(spark, sf).groupBy("source_table", "ref_id").agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched)}
 
 ORACLE = {
     "p4_found": """
