@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millsheet.llm.canonical import map_rows, material_rows
+from millsheet.llm.names import link_names, linked_pairs, supplier_names
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
 from millsheet.session import table
@@ -30,7 +31,20 @@ def p6_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return _materials(spark, sf).groupBy("source_table", "ref_id").agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched)}
+def _companies(spark: SparkSession, sf: str) -> DataFrame:
+    return link_names(supplier_names(table(spark, sf, "extraction_result"), table(spark, sf, "seed_record")))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return linked_pairs(_companies(spark, sf))
+
+
+def p7_companies(spark: SparkSession, sf: str) -> DataFrame:
+    """Every spelling with the canonical form it is attached to."""
+    return _companies(spark, sf)
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies)}
 
 ORACLE = {
     "p4_found": """
