@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millsheet.llm.canonical import map_rows, material_rows
+from millsheet.llm.leakage import find_leaks
 from millsheet.llm.names import link_names, linked_pairs, supplier_names
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
@@ -44,7 +45,11 @@ def p7_companies(spark: SparkSession, sf: str) -> DataFrame:
     return _companies(spark, sf)
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies)}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found)}
 
 ORACLE = {
     "p4_found": """
