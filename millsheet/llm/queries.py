@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millsheet.llm.canonical import map_rows, material_rows
 from millsheet.llm.leakage import find_leaks
 from millsheet.llm.names import link_names, linked_pairs, supplier_names
+from millsheet.llm.sentences import split_sentences
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
 from millsheet.session import table
@@ -49,7 +50,11 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found)}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return split_sentences(table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found, p10_found)}
 
 ORACLE = {
     "p4_found": """
