@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millsheet.llm.canonical import map_rows, material_rows
+from millsheet.llm import language
 from millsheet.llm.leakage import find_leaks
 from millsheet.llm.names import link_names, linked_pairs, supplier_names
 from millsheet.llm.sentences import split_sentences
@@ -54,7 +55,17 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return split_sentences(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found, p10_found)}
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return language.find_languages(table(spark, sf, "documents"), table(spark, sf, "seed_record"), table(spark, sf, "ocr_result"), document_key)
+
+
+def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stretch of every document with its language and confidence."""
+    d = table(spark, sf, "documents")
+    return language.read_languages(d.select(F.col("doc_id").alias("row_id"), "text"), language.fit(d)).withColumn("confidence", F.round("confidence", 4))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found, p10_found, p5_found, p5_segments)}
 
 ORACLE = {
     "p4_found": """
