@@ -9,6 +9,7 @@ from millsheet.llm.canonical import map_rows, material_rows
 from millsheet.llm import language
 from millsheet.llm.leakage import find_leaks
 from millsheet.llm.names import link_names, linked_pairs, supplier_names
+from millsheet.llm.packing import count_tokens, pack
 from millsheet.llm.sentences import split_sentences
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
@@ -65,7 +66,18 @@ def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
     return language.read_languages(d.select(F.col("doc_id").alias("row_id"), "text"), language.fit(d)).withColumn("confidence", F.round("confidence", 4))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found, p10_found, p5_found, p5_segments)}
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(count_tokens(table(spark, sf, "documents")), table(spark, sf, "pack_capacity"))
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers, tokens and used share of each capacity."""
+    c = table(spark, sf, "pack_capacity").select("capacity_id", "capacity_tokens").distinct()
+    per = p8_containers(spark, sf).groupBy("capacity_id").agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
+    return per.join(F.broadcast(c), "capacity_id").select("capacity_id", "containers", "tokens", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 5).alias("used"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found, p10_found, p5_found, p5_segments, p8_containers, p8_fill)}
 
 ORACLE = {
     "p4_found": """
