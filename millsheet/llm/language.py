@@ -1,6 +1,6 @@
 """Languages of documents and of their stretches, by a string kernel.
 
-The kernel of two texts is the share of the character n-grams (orders 1 to 4 together) that are present in both. A bounded
+The kernel of two texts is the share of the character n-grams (orders 1 to 3 together) that are present in both. A bounded
 sample of labelled documents gives the landmarks of a Nyström map and the training sentences; one-versus-rest kernel
 ridge regression on that map is fitted twice, the second time without the training sentences the first fit contradicts,
 as labels may be wrong. A text is scored in batches by products of its presence matrix with the weights, into which the
@@ -23,16 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millsheet.llm.sentences import _NUMBERS, Tagger, is_label
+from millsheet.llm.sentences import _NUMBERS, is_label
 
 LANGS = ("en", "fr", "de", "es", "it", "pt", "nl", "zh", "ja", "th", "hi", "ar")
 #: Labelled documents in the sample, sentences of a language to train on, landmarks of a language, at most.
-TRAIN_DOCUMENTS, TRAIN_SENTENCES, LANDMARKS = 6000, 400, 30
-ORDERS, SPACE, RIDGE = (1, 2, 3, 4), 1 << 16, 0.05
+TRAIN_DOCUMENTS, TRAIN_SENTENCES, LANDMARKS = 6000, 1000, 40
+ORDERS, SPACE, RIDGE = (1, 2, 3), 1 << 16, 0.01
 #: Cost of a change of language between two sentences, in units of the scores (which lie between about 0 and 1).
 CHANGE = 0.3
 #: Letters that a unit must have to speak for a language.
 LEAST = 6
+#: Pieces shorter than this go with the next one.
+SHORT = 24
 
 #: Spellings of the languages: ISO 639-1, 639-2 and their names in the languages concerned.
 _NAMES = {
@@ -54,16 +56,66 @@ def label_code(label: str | None) -> str | None:
     return _LABELS.get(s) or _LABELS.get(re.split(r"[-_\s(/]", s)[0])
 
 
+#: Scripts whose letters say more than those of an alphabet.
+_DENSE = re.compile("[\u2e80-\u9fff\uf900-\ufaff]")
+_SCRIPT = re.compile("[\u0600-\u06ff\u0900-\u0d7f\u0e00-\u0e7f\u2e80-\u9fff\uac00-\ud7a3\uf900-\ufaff]")
+_LATIN = re.compile("[A-Za-z\u00c0-\u024f]")
 _CODE = re.compile(r"[A-Za-z0-9.,/°º-]*\d[A-Za-z0-9.,/°º-]*|(?<![A-Za-z])[A-Z]{2,}(?![A-Za-z])")
-_OTHER = re.compile(r"[\W\d_]+")
+_OTHER = re.compile("(?:[^\\w\u0300-\u036f\u0900-\u0963\u0970-\u0dff\u0e31-\u0e3a\u0e47-\u0e4e\u0610-\u061a\u064b-\u065f]|[\\d_])+")
+#: What parts the pieces of a paragraph: final punctuation before a blank, or final punctuation of scripts without blanks.
+_PIECE = re.compile(r"[.!?…][\"»”’)']?\s+|[।॥。！？]+(?![”」』’])\s*")
+_BLANK_LINE = re.compile(r"\n[^\S\n]*\n\s*")
+
+
+class _Words(dict):
+    """Words with anything but letters, without it; forgets when it gets large."""
+
+    def __missing__(self, w: str) -> str:
+        if len(self) > 50_000:
+            self.clear()
+        got = self[w] = _OTHER.sub(" ", _CODE.sub(" ", w)).strip().lower()
+        return got
+
+
+_WORDS = _Words()
 
 
 def plain(text: str) -> str:
     """What of a text speaks for its language: words without codes, numbers and punctuation."""
-    s = _CODE.sub(" ", text)
-    # combining vowel signs are no word characters to ``re`` in all scripts: cut punctuation by category only in ASCII
-    s = "".join(c if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for c in s.lower()) if not s.isascii() else _OTHER.sub(" ", s.lower())
-    return f" {' '.join(s.split())} "
+    if not text.isascii() and (n := len(_SCRIPT.findall(text))) and n * 3 > len(_LATIN.findall(text)):
+        # names and grades in a text of another script
+        return _OTHER.sub(" ", f" {_LATIN.sub(' ', text)} ")
+    words = [(w.lower() if len(w) == 1 or not w.isupper() else "") if w.isalpha() else _WORDS[w] for w in text.split()]
+    return f" {' '.join(filter(None, words))} "
+
+
+def pieces(text: str) -> list[tuple[int, str]]:
+    """(start, piece) of the pieces of a text without label lines and lines of numbers."""
+    out: list[tuple[int, str]] = []
+    start = 0
+    for blank in [*_BLANK_LINE.finditer(text), None]:
+        end = blank.start() if blank else len(text)
+        paragraph = text[start:end]
+        if ":" in paragraph or "=" in paragraph or "：" in paragraph or paragraph[:1].isdigit():
+            # label lines stand at the top of a paragraph
+            at = 0
+            while at < len(paragraph):
+                stop = paragraph.find("\n", at)
+                stop = len(paragraph) if stop < 0 else stop
+                line = paragraph[at:stop]
+                if line.strip() and not is_label(line) and not _NUMBERS.match(line):
+                    break
+                at = stop + 1
+            start, paragraph = start + at, paragraph[at:]
+        at = 0
+        for m in _PIECE.finditer(paragraph):
+            if m.end() - at >= SHORT or ord(m[0][0]) > 0x900:  # what is too short goes with what follows
+                out.append((start + at, paragraph[at : m.end()]))
+                at = m.end()
+        if at < len(paragraph):
+            out.append((start + at, paragraph[at:]))
+        start = blank.end() if blank else end
+    return out
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,12 +184,11 @@ def _ridge(texts: list[str], y: np.ndarray) -> Model:
 
 def train(labelled: list[tuple[str, str]]) -> Model:
     """The model from (text, language) of labelled documents, whose labels may be wrong."""
-    tagger = Tagger()
     by: dict[str, list[str]] = {k: [] for k in LANGS}
     for text, lang in labelled:
         if len(by[lang]) >= TRAIN_SENTENCES:
             continue
-        by[lang] += [p for a, b in tagger.units(text)[:12] if not is_label(text[a:b]) and len(p := plain(text[a:b])) > 15]
+        by[lang] += [p for _, u in pieces(text)[:12] if len(p := plain(u)) > (6 if _DENSE.search(p) else 15)]
     texts = [t for k in LANGS for t in by[k][:TRAIN_SENTENCES]]
     y = np.array([i for i, k in enumerate(LANGS) for _ in by[k][:TRAIN_SENTENCES]], int)
     if not texts:
@@ -183,22 +234,19 @@ class Reader:
     """Reads the languages of texts in batches; keeps the scores of units it has met."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.tagger = model, Tagger()
+        self.model = model
         self.known: dict[str, np.ndarray] = {}
 
     def read(self, texts: list[str | None]) -> list[list[tuple[int, int, str, float]]]:
         """Of every text its stretches: (start, end, language, confidence)."""
-        units: list[list[tuple[int, int, str]]] = []
+        units: list[list[tuple[int, str]]] = []
         new: dict[str, None] = {}
         for t in texts:
             own = []
-            for a, b in self.tagger.units(t or ""):
-                u = t[a:b]  # type: ignore[index]
-                if is_label(u) or _NUMBERS.match(u):
-                    continue
+            for a, u in pieces(t or ""):
                 p = plain(u)
-                if len(p) - 2 >= LEAST or any(ord(c) > 0x2E80 for c in p) and len(p) > 4:
-                    own.append((a, b, p))
+                if len(p) - 2 >= LEAST or len(p) > 4 and _DENSE.search(p):
+                    own.append((a, p))
                     if p not in self.known:
                         new[p] = None
             units.append(own)
@@ -210,8 +258,15 @@ class Reader:
             if not own:
                 out.append([])
                 continue
-            s = np.array([self.known[p] for _, _, p in own])
-            n = np.array([len(p) * (3 if any(ord(c) > 0x2E80 for c in p[:8]) else 1) for _, _, p in own], float)
+            s = np.array([self.known[p] for _, p in own])
+            top = s.argmax(1)
+            if (top == top[0]).all():  # nothing to decide
+                n = np.array([len(p) for _, p in own], float)
+                mean = n @ s / n.sum()
+                k = int(top[0])
+                out.append([(0, len(t or ""), LANGS[k], float(np.clip(0.5 + (mean[k] - np.delete(mean, k).max()) / 2, 0, 1)))])
+                continue
+            n = np.array([len(p) * (3 if _DENSE.search(p) else 1) for _, p in own], float)
             cuts = stretches(s, n)
             bounds = [0, *(own[a][0] for a, _, _ in cuts[1:]), len(t or "")]
             out.append([(bounds[i], bounds[i + 1], LANGS[k], c) for i, (_, k, c) in enumerate(cuts)])
