@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millsheet.llm.sentences import _NUMBERS, is_label
+from millsheet.session import cut
 
 LANGS = ("en", "fr", "de", "es", "it", "pt", "nl", "zh", "ja", "th", "hi", "ar")
 #: Labelled documents in the sample, sentences of a language to train on, landmarks of a language, at most.
@@ -304,9 +305,9 @@ def _codes(column: str):  # noqa: ANN202
 def find_languages(documents: DataFrame, seeds: DataFrame, pages: DataFrame, key) -> DataFrame:  # noqa: ANN001
     """Stretches of mixed texts, and languages of texts whose label is missing or wrong (see the module); ``key`` unifies document names."""
     model = fit(documents)
-    doc = read_languages(documents.select(F.col("doc_id").alias("row_id"), "text"), model)
-    page = read_languages(pages.select(F.col("ocr_id").alias("row_id"), F.col("full_text").alias("text")), model).select("row_id", "segment_no", "lang").distinct()
-    # the last segment_no of a text tells whether it is mixed; each text is one task's, so no join is needed to know it
+    # read once, used by several branches below
+    doc = cut(read_languages(documents.select(F.col("doc_id").alias("row_id"), "text"), model).select("row_id", "segment_no", "lang"))
+    page = cut(read_languages(pages.select(F.col("ocr_id").alias("row_id"), F.col("full_text").alias("text")), model).select("row_id", "segment_no", "lang").distinct())
     d = doc.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("segment_no", "lang"))).alias("s"))
     labels = documents.select(F.col("doc_id").alias("row_id"), _codes("lang").alias("code")).dropDuplicates(["row_id"])
     d = d.join(labels, "row_id")
