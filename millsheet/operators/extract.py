@@ -180,10 +180,21 @@ def notes(n_project: Column, n_supplier: Column) -> Column:
     )
 
 
+def best_in_row(cands: Column) -> Column:
+    """The best candidate of an array in candidate order: as ``best``, without leaving the row. Null if it is empty."""
+
+    def of(b: Column) -> Column:
+        def rank(v: Column) -> Column:
+            conf = F.array_max(F.transform(F.filter(b["c"], lambda x: x["value"] == v), lambda x: x["confidence"]))
+            return F.struct((-conf).alias("c"), F.array_position(b["v"], v).alias("p"), v.alias("value"))
+
+        return F.array_min(F.transform(F.array_distinct(b["v"]), rank))["value"]
+
+    return let(F.struct(cands.alias("c"), F.transform(cands, lambda x: x["value"]).alias("v")), of)
+
+
 def extract(documents: DataFrame) -> DataFrame:
-    """doc, the best value of each field (null if none), and the notes."""
-    c = candidates(documents)
-    wide = best(c).groupBy("doc").pivot("field", rules.FIELDS).agg(F.first("value"))
-    n = c.groupBy("doc").agg(F.count_if(F.col("field") == "project_id").alias("np"), F.count_if(F.col("field") == "supplier").alias("ns"))
-    zero = lambda k: F.coalesce(F.col(k), F.lit(0))
-    return documents.select("doc").join(wide, "doc", "left").join(n, "doc", "left").select("doc", *rules.FIELDS, notes(zero("np"), zero("ns")).alias("notes"))
+    """doc, the best value of each field (null if none), and the notes: one projection, no shuffle."""
+    text = F.coalesce("text", F.lit(""))
+    found = documents.select("doc", *[EXTRACTORS[f](text).alias(f) for f in rules.FIELDS])
+    return found.select("doc", *[best_in_row(F.col(f)).alias(f) for f in rules.FIELDS], notes(F.size("project_id"), F.size("supplier")).alias("notes"))
