@@ -298,16 +298,16 @@ def eval_match(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scalar(name: str, column, sql: str) -> None:  # noqa: ANN001
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return corpus(spark, sf).select("doc", column.alias("value"))
+        return corpus(spark, sf).select("doc", column().alias("value"))
 
     QUERIES[name], ORACLE[name] = run, f"{WITH} SELECT doc, {sql} AS value FROM corpus"
 
 
-_scalar("eval_normalize", T.eval_normalize(F.col("text")), _NORM("text"))
-_scalar("eval_normalize_id", T.eval_normalize_id(F.col("text")), _NORM_ID("text"))
-_scalar("eval_normalize_qty", T.eval_normalize_qty(F.col("g_quantity")), _NORM_QTY("g_quantity"))
+_scalar("eval_normalize", lambda: T.eval_normalize(F.col("text")), _NORM("text"))
+_scalar("eval_normalize_id", lambda: T.eval_normalize_id(F.col("text")), _NORM_ID("text"))
+_scalar("eval_normalize_qty", lambda: T.eval_normalize_qty(F.col("g_quantity")), _NORM_QTY("g_quantity"))
 _DATE_OF = lambda nl: "regexp_extract(text, '(?:Date: |Issued )([0-9./-]+)', 1)"
-_scalar("eval_normalize_date", T.eval_normalize_date(F.regexp_extract("text", "(?:Date: |Issued )([0-9./-]+)", 1)), _norm_date(_DATE_OF("")))
+_scalar("eval_normalize_date", lambda: T.eval_normalize_date(F.regexp_extract("text", "(?:Date: |Issued )([0-9./-]+)", 1)), _norm_date(_DATE_OF("")))
 
 
 @query("""SELECT o_orderkey AS doc, printf('%02d/%02d/%04d', CAST(1 + o_orderkey % 35 AS INTEGER), CAST(1 + o_orderkey % 14 AS INTEGER), CAST(CASE WHEN o_orderkey % 120 < 50 THEN o_orderkey % 120 + 2000 WHEN o_orderkey % 120 < 100 THEN o_orderkey % 120 + 1900 ELSE o_orderkey % 120 END AS INTEGER)) AS value FROM orders""")

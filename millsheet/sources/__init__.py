@@ -1 +1 @@
-"""millsheet.sources"""
+"""Readers and writers of the engine's files."""
