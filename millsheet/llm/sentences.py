@@ -54,6 +54,7 @@ _QUOTE = re.compile(r"«[^«»]*»|„[^„“”]*[“”]|“[^“”]*”|「
 _THAI = "฀-๿຀-໿ក-៿က-႟"
 _IS_THAI = re.compile(f"[{_THAI}]")
 _CANDIDATE = re.compile(rf"[{re.escape(_FINAL)}]+(?:[^\S\n]?»|[{re.escape(_CLOSE)}])*|(?<=\S)\s+(?=\S)")
+_MARK = re.compile(rf"[{re.escape(_FINAL)}]+(?:[^\S\n]?»|[{re.escape(_CLOSE)}])*")
 _CJK = re.compile(r"[぀-ヿ㐀-䶿一-鿿豈-﫿]")
 _LATIN_START = re.compile(r"[¿¡«„“\"(]?\s?[A-ZÀ-ÖØ-Þ](?:['’][A-Za-zÀ-ÿ]|[a-zà-öø-ÿ]+)[\w'’-]*[\s,]+(?:[a-zà-öø-ÿ]|[A-ZÀ-Þ][a-zà-öø-ÿ])")
 _WORD_BEFORE = re.compile(r"[^\s«»„“”\"'’(\[:;,]*$")
@@ -181,9 +182,11 @@ class Tagger:
         q = 0
         thai = False
         at = start
-        for m in _CANDIDATE.finditer(text, start, end):
+        # blanks end sentences only in scripts without final punctuation
+        blanks = _IS_THAI.search(text, start, end) is not None
+        for m in (_CANDIDATE if blanks else _MARK).finditer(text, start, end):
             a, b = m.span()
-            if not thai and _IS_THAI.search(text, at, a):
+            if blanks and not thai and _IS_THAI.search(text, at, a):
                 thai = True
             at = b
             blank = text[a].isspace()
