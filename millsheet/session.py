@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
@@ -15,16 +16,20 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Give the workers this package once per application, as ``--py-files`` would."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
-    out = Path(tempfile.mkdtemp(prefix="millsheet-")) / "millsheet_pkg.zip"
-    with zipfile.ZipFile(out, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, f"{root.name}/{p.relative_to(root)}")
-    spark.sparkContext.addPyFile(str(out))
-    _SHIPPED.add(app)
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/millsheet-{sc.applicationId}.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    out.write(held.getvalue())
+    out.close()
+    sc.addPyFile(path.toString())
+    _SHIPPED.add(sc.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
