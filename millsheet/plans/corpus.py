@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millsheet.session import table
+from millsheet.session import spread, table
 
 
 def _pick(expr: str, values: list[str]) -> str:
@@ -70,4 +70,4 @@ WITH = f"WITH parts AS ({_PARTS}), dated AS ({_DATES}), lined AS ({_LINES}), cor
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """The corpus of a data folder."""
-    return spark.sql(f"{WITH.replace('FROM orders', 'FROM {orders}').replace('{', '{').strip()} SELECT * FROM corpus", orders=table(spark, sf, "orders"))
+    return spark.sql(f"{WITH.replace('FROM orders', 'FROM {orders}').strip()} SELECT * FROM corpus", orders=spread(table(spark, sf, "orders").select("o_orderkey", "o_orderdate")))

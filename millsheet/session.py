@@ -38,6 +38,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows of a few small files to all cores, for work that costs far more than its input's size.
+
+    An input that has a part for every core, as any large one, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
