@@ -13,7 +13,7 @@ from millsheet.llm.packing import count_tokens, pack
 from millsheet.llm.sentences import split_sentences
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
-from millsheet.session import table
+from millsheet.session import spread, table
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,25 +49,25 @@ def p7_companies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+    return find_leaks(spread(table(spark, sf, "documents")), table(spark, sf, "eval_items"))
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    return split_sentences(table(spark, sf, "documents"))
+    return split_sentences(spread(table(spark, sf, "documents")))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return language.find_languages(table(spark, sf, "documents"), table(spark, sf, "seed_record"), table(spark, sf, "ocr_result"), document_key)
+    return language.find_languages(spread(table(spark, sf, "documents")), table(spark, sf, "seed_record"), table(spark, sf, "ocr_result"), document_key)
 
 
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Every stretch of every document with its language and confidence."""
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     return language.read_languages(d.select(F.col("doc_id").alias("row_id"), "text"), language.fit(d)).withColumn("confidence", F.round("confidence", 4))
 
 
 def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
-    return pack(count_tokens(table(spark, sf, "documents")), table(spark, sf, "pack_capacity"))
+    return pack(count_tokens(spread(table(spark, sf, "documents"))), table(spark, sf, "pack_capacity"))
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
