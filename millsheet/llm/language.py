@@ -2,8 +2,8 @@
 
 The kernel of two texts is the share of the character n-grams (orders 1 to 3 together) that are present in both. A bounded
 sample of labelled documents gives the landmarks of a Nyström map and the training sentences; one-versus-rest kernel
-ridge regression on that map is fitted twice, the second time without the training sentences the first fit contradicts,
-as labels may be wrong. A text is scored in batches by products of its presence matrix with the weights, into which the
+ridge regression on that map is fitted again without the training sentences the last fit contradicts, as labels may be
+wrong. A text is scored in batches by products of its presence matrix with the weights, into which the
 landmarks are folded (presence x landmarks x coefficients is one matrix of n-grams by languages). Sentences are scored
 one by one; a Viterbi pass over the sentences of a text, which charges each change of language, gives its stretches.
 
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ LANGS = ("en", "fr", "de", "es", "it", "pt", "nl", "zh", "ja", "th", "hi", "ar")
 #: Labelled documents in the sample, sentences of a language to train on, landmarks of a language, at most.
 TRAIN_DOCUMENTS, TRAIN_SENTENCES, LANDMARKS = 6000, 1000, 40
 ORDERS, SPACE, RIDGE = (1, 2, 3), 1 << 16, 0.01
+#: Fits without the training pieces that the last fit contradicts.
+ROUNDS = 2
 #: Cost of a change of language between two sentences, in units of the scores (which lie between about 0 and 1).
 CHANGE = 0.3
 #: Letters that a unit must have to speak for a language.
@@ -186,7 +189,8 @@ def _ridge(texts: list[str], y: np.ndarray) -> Model:
 def train(labelled: list[tuple[str, str]]) -> Model:
     """The model from (text, language) of labelled documents, whose labels may be wrong."""
     by: dict[str, list[str]] = {k: [] for k in LANGS}
-    for text, lang in labelled:
+    # in the order of a hash: any other order may put texts of one kind, such as wrongly labelled ones, first
+    for text, lang in sorted(labelled, key=lambda x: (xxhash.xxh64_intdigest(x[0]), x[1])):
         if len(by[lang]) >= TRAIN_SENTENCES:
             continue
         by[lang] += [p for _, u in pieces(text)[:12] if len(p := plain(u)) > (6 if _DENSE.search(p) else 15)]
@@ -194,9 +198,13 @@ def train(labelled: list[tuple[str, str]]) -> Model:
     y = np.array([i for i, k in enumerate(LANGS) for _ in by[k][:TRAIN_SENTENCES]], int)
     if not texts:
         return Model(np.zeros((SPACE, len(LANGS)), np.float32))
-    first = _ridge(texts, y)
-    keep = np.flatnonzero(first.scores(texts).argmax(1) == y)
-    return _ridge([texts[i] for i in keep], y[keep]) if len(keep) else first
+    model = _ridge(texts, y)
+    for _ in range(ROUNDS):
+        keep = np.flatnonzero(model.scores(texts).argmax(1) == y)
+        if not len(keep):
+            break
+        model = _ridge([texts[i] for i in keep], y[keep])
+    return model
 
 
 def fit(documents: DataFrame, label: str = "lang") -> Model:

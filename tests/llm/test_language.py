@@ -52,6 +52,13 @@ def test_held_out_accuracy_in_spite_of_wrong_labels():
         assert 0.5 < c <= 1
 
 
+def test_wrong_labels_of_one_script_that_sort_first():
+    wrong = [(" ".join(TEXTS["fr"][i : i + 2]) + f" {n}", "ja") for n in range(4) for i in range(3)]
+    r = G.Reader(G.train(_labelled(0.0) + wrong))
+    assert [x[2] for x in r.read([TEXTS["fr"][0] + " " + TEXTS["fr"][3]])[0]] == ["fr"]
+    assert [x[2] for x in r.read(["".join(TEXTS["ja"])])[0]] == ["ja"]
+
+
 def test_stretches_and_texts_without_words():
     r = G.Reader(G.train(_labelled()))
     mixed = "Supplier : ACME Ltd\n\n" + " ".join(TEXTS["fr"]) + "\n\n" + " ".join(TEXTS["de"]) + "\n\n" + " ".join(TEXTS["th"]) + "\n\n" + "".join(TEXTS["ja"])
