@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millsheet.llm.sentences import _NUMBERS, is_label
+from millsheet.llm.sentences import _NUMBERS, _THAI, is_label
 from millsheet.session import cut
 
 LANGS = ("en", "fr", "de", "es", "it", "pt", "nl", "zh", "ja", "th", "hi", "ar")
@@ -69,6 +69,12 @@ _OTHER = re.compile("(?:[^\\w\u0300-\u036f\u0900-\u0963\u0970-\u0dff\u0e31-\u0e3
 #: What parts the pieces of a paragraph: final punctuation before a blank, or final punctuation of scripts without blanks.
 _PIECE = re.compile(r"[.!?…][\"»”’)']?\s+|[।॥。！？]+(?![”」』’])\s*")
 _BLANK_LINE = re.compile(r"\n[^\S\n]*\n\s*")
+#: Letters of the scripts without final punctuation, what stands between them, and what of that is no name or code in their text:
+#: letters of a third script, or a run of words of which two or more are small.
+_UNMARKED = re.compile(f"[{_THAI}]")
+_BETWEEN = re.compile(f"[^{_THAI}]+")
+_THIRD = re.compile("[\u0600-\u06ff\u0900-\u0d7f\u2e80-\u2fff\u3040-\u9fff\uac00-\ud7a3\uf900-\ufaff]")
+_WORD = re.compile(r"(?<![^\W_])[^\W\d_]*[a-z\u00df-\u00f6\u00f8-\u00ff][^\W\d_]*(?![^\W_])")
 
 
 class _Words(dict):
@@ -93,10 +99,30 @@ def plain(text: str) -> str:
     return f" {' '.join(filter(None, words))} "
 
 
+def joints(piece: str) -> list[int]:
+    """Where letters of a script without final punctuation meet a run of words of another script, in order."""
+    out = []
+    for m in _BETWEEN.finditer(piece):
+        run = m[0]
+        third = _THIRD.search(run)
+        words = [w for w in _WORD.finditer(run) if w.end() - w.start() > 1]
+        if not third and sum(w[0].islower() for w in words) < 2:
+            continue
+        a = min(x.start() for x in (third, *words[:1]) if x)
+        while a and not run[a - 1].isspace():  # opening marks
+            a -= 1
+        b = len(run)
+        while b and not (run[b - 1].isspace() or run[b - 1].isalnum()):
+            b -= 1
+        out += [x for x in (m.start() + a, m.start() + b) if 0 < x < len(piece)]
+    return out
+
+
 def pieces(text: str) -> list[tuple[int, str]]:
     """(start, piece) of the pieces of a text without label lines and lines of numbers."""
     out: list[tuple[int, str]] = []
     start = 0
+    unmarked = not text.isascii() and _UNMARKED.search(text) is not None
     for blank in [*_BLANK_LINE.finditer(text), None]:
         end = blank.start() if blank else len(text)
         paragraph = text[start:end]
@@ -113,12 +139,15 @@ def pieces(text: str) -> list[tuple[int, str]]:
             start, paragraph = start + at, paragraph[at:]
         at = 0
         for m in _PIECE.finditer(paragraph):
-            if m.end() - at >= SHORT or ord(m[0][0]) > 0x900:  # what is too short goes with what follows
+            # what is too short goes with what follows in its script
+            if m.end() - at >= SHORT or ord(m[0][0]) > 0x900 or unmarked and _UNMARKED.match(paragraph, m.end()) and not _UNMARKED.search(paragraph, at, m.end()):
                 out.append((start + at, paragraph[at : m.end()]))
                 at = m.end()
         if at < len(paragraph):
             out.append((start + at, paragraph[at:]))
         start = blank.end() if blank else end
+    if unmarked:
+        out = [(a + x, u[x:y]) for a, u in out for cuts in ([0, *joints(u), len(u)] if _UNMARKED.search(u) else [0, len(u)],) for x, y in zip(cuts, cuts[1:])]
     return out
 
 

@@ -81,3 +81,18 @@ def test_table(spark):
     assert got == [("documents", 900, 0, "de"), ("documents", 901, 0, "de"), ("documents", 903, 1, "de"), ("documents", 903, 2, "fr"), ("ocr_result", 5, 1, "en"), ("ocr_result", 5, 2, "fr"), ("seed_record", 1, 0, "de")]
     none = [x.limit(0) for x in (d, s, p)]
     assert G.find_languages(*none, document_key).count() == 0
+
+
+def test_one_sentence_beside_a_script_without_final_punctuation():
+    r = G.Reader(G.train(_labelled(0.0)))
+    th = " ".join(TEXTS["th"])
+    for k in ("en", "fr", "de", "ja"):
+        for t, want in ((f"{th} {TEXTS[k][0]}", ["th", k]), (f"{TEXTS['th'][1]} {' '.join(TEXTS[k])}", ["th", k]), (f"{TEXTS[k][0]} {th}", [k, "th"]), (f"{' '.join(TEXTS[k])} {TEXTS['th'][1]}", [k, "th"])):
+            got = r.read([t])[0]
+            assert [x[2] for x in got] == want, t
+            assert t[got[1][0] :].startswith((TEXTS["th"][0], TEXTS["th"][1], TEXTS[k][0]))
+
+
+def test_names_and_codes_stay_with_the_script_around_them():
+    t = f"{TEXTS['th'][0]} Dupont Metal Works {TEXTS['th'][1]} WPS-19069 PT 12 °C {TEXTS['th'][2]}"
+    assert G.pieces(t) == [(0, t)]
