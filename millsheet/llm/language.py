@@ -343,7 +343,7 @@ def find_languages(documents: DataFrame, seeds: DataFrame, pages: DataFrame, key
     """Stretches of mixed texts, and languages of texts whose label is missing or wrong (see the module); ``key`` unifies document names."""
     model = fit(documents)
     # read once, used by several branches below
-    doc = cut(read_languages(documents.select(F.col("doc_id").alias("row_id"), "text"), model).select("row_id", "segment_no", "lang"))
+    doc = cut(read_languages(documents.select(F.col("doc_id").alias("row_id"), "text"), model).select("row_id", "segment_no", "lang").distinct())
     page = cut(read_languages(pages.select(F.col("ocr_id").alias("row_id"), F.col("full_text").alias("text")), model).select("row_id", "segment_no", "lang").distinct())
     d = doc.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("segment_no", "lang"))).alias("s"))
     labels = documents.select(F.col("doc_id").alias("row_id"), _codes("lang").alias("code")).dropDuplicates(["row_id"])

@@ -63,7 +63,8 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Every stretch of every document with its language and confidence."""
     d = spread(table(spark, sf, "documents"))
-    return language.read_languages(d.select(F.col("doc_id").alias("row_id"), "text"), language.fit(d)).withColumn("confidence", F.round("confidence", 4))
+    read = language.read_languages(d.select(F.col("doc_id").alias("row_id"), "text"), language.fit(d)).withColumn("confidence", F.round("confidence", 4))
+    return read.dropDuplicates(["row_id", "segment_no", "start_pos", "end_pos", "lang"])
 
 
 def p8_containers(spark: SparkSession, sf: str) -> DataFrame:

@@ -368,4 +368,6 @@ def split_sentences(documents: DataFrame) -> DataFrame:
             rows = [(d, k, x, y) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()) for k, (x, y) in enumerate(tagger.units(t), 1)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
-    return documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, sent_no int, start_pos int, end_pos int")
+    units = documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, sent_no int, start_pos int, end_pos int")
+    # one narrow shuffle: repeated documents' rows meet, and those of a document stay in order
+    return units.repartition("doc_id").distinct().sortWithinPartitions("doc_id", "sent_no")

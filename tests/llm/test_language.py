@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from millsheet.llm import language as G
+from millsheet.llm.queries import p5_segments
 from millsheet.operators.quantities import document_key
 
 TEXTS = {
@@ -96,3 +97,15 @@ def test_one_sentence_beside_a_script_without_final_punctuation():
 def test_names_and_codes_stay_with_the_script_around_them():
     t = f"{TEXTS['th'][0]} Dupont Metal Works {TEXTS['th'][1]} WPS-19069 PT 12 °C {TEXTS['th'][2]}"
     assert G.pieces(t) == [(0, t)]
+
+
+def test_repeated_rows_count_once(spark, tmp_path):
+    docs = [(i, t, k) for i, (t, k) in enumerate(_labelled(0.0))] + [(900, " ".join(TEXTS["de"]), "fr"), (901, " ".join(TEXTS["de"]), "de"), (902, " ".join(TEXTS["de"]) + "\n\n" + " ".join(TEXTS["fr"]), "de")] * 2
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    p = spark.createDataFrame([], "ocr_id long, document_name string, full_text string")
+    s = spark.createDataFrame([], "seed_id long, filename string, language string")
+    got = sorted(tuple(r) for r in G.find_languages(d, s, p, document_key).collect())
+    assert got == [("documents", 900, 0, "de"), ("documents", 902, 1, "de"), ("documents", 902, 2, "fr")]
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.row_id, r.segment_no, r.lang) for r in p5_segments(spark, str(tmp_path)).where("row_id >= 900").collect())
+    assert got == [(900, 1, "de"), (901, 1, "de"), (902, 1, "de"), (902, 2, "fr")]

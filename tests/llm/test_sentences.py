@@ -68,3 +68,8 @@ def test_table(spark):
     assert sum(r.doc_id == 4 for r in got) == 20000
     assert {r.doc_id for r in got} == {1, 4, 5}
     assert split_sentences(d.limit(0)).count() == 0
+
+
+def test_repeated_rows_count_once(spark):
+    d = spark.createDataFrame([(1, "Ab cd. Ef gh."), (2, "Ab cd."), (1, "Ab cd. Ef gh.")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in split_sentences(d).collect()) == [(1, 1, 0, 6), (1, 2, 7, 13), (2, 1, 0, 6)]
