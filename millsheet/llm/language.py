@@ -1,7 +1,7 @@
 """Languages of documents and of their stretches, by a string kernel.
 
 The kernel of two texts is the share of the character n-grams (orders 1 to 3 together) that are present in both. A bounded
-sample of labelled documents gives the landmarks of a Nyström map and the training sentences; one-versus-rest kernel
+sample of labelled documents, drawn by language from all rows, gives the landmarks of a Nyström map and the training sentences; one-versus-rest kernel
 ridge regression on that map is fitted again without the training sentences the last fit contradicts, as labels may be
 wrong. A text is scored in batches by products of its presence matrix with the weights, into which the
 landmarks are folded (presence x landmarks x coefficients is one matrix of n-grams by languages). Sentences are scored
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millsheet.llm.sentences import _NUMBERS, _THAI, is_label
@@ -30,6 +30,8 @@ from millsheet.session import cut
 LANGS = ("en", "fr", "de", "es", "it", "pt", "nl", "zh", "ja", "th", "hi", "ar")
 #: Labelled documents in the sample, sentences of a language to train on, landmarks of a language, at most.
 TRAIN_DOCUMENTS, TRAIN_SENTENCES, LANDMARKS = 6000, 1000, 40
+#: Pieces of a document to train on, at most (its first), so that a few long documents don't make up a language.
+TRAIN_PIECES = 12
 ORDERS, SPACE, RIDGE = (1, 2, 3), 1 << 16, 0.01
 #: Fits without the training pieces that the last fit contradicts.
 ROUNDS = 2
@@ -222,7 +224,7 @@ def train(labelled: list[tuple[str, str]]) -> Model:
     for text, lang in sorted(labelled, key=lambda x: (xxhash.xxh64_intdigest(x[0]), x[1])):
         if len(by[lang]) >= TRAIN_SENTENCES:
             continue
-        by[lang] += [p for _, u in pieces(text)[:12] if len(p := plain(u)) > (6 if _DENSE.search(p) else 15)]
+        by[lang] += [p for _, u in pieces(text)[:TRAIN_PIECES] if len(p := plain(u)) > (6 if _DENSE.search(p) else 15)]
     texts = [t for k in LANGS for t in by[k][:TRAIN_SENTENCES]]
     y = np.array([i for i, k in enumerate(LANGS) for _ in by[k][:TRAIN_SENTENCES]], int)
     if not texts:
@@ -237,10 +239,14 @@ def train(labelled: list[tuple[str, str]]) -> Model:
 
 
 def fit(documents: DataFrame, label: str = "lang") -> Model:
-    """The model, trained on a bounded sample of the documents (text, label) that have a known label."""
+    """The model, trained on the documents (text, label) of each known label whose texts have the smallest hashes, a bounded number."""
+    per = TRAIN_DOCUMENTS // len(LANGS)
     known = F.udf(label_code)(F.col(label))
-    rows = documents.where(F.col("text").isNotNull() & F.col(label).isNotNull()).select("text", known.alias("code")).where("code is not null").limit(TRAIN_DOCUMENTS).collect()
-    return train(sorted((r[0], r[1]) for r in rows))
+    rows = documents.where(F.col("text").isNotNull() & F.col(label).isNotNull()).withColumn("h", F.xxhash64("text"))
+    # hashes alone are ranked, a bounded number of each label and part is shuffled
+    ranked = rows.select(known.alias("code"), "h").where("code is not null").distinct().withColumn("k", F.row_number().over(Window.partitionBy("code").orderBy("h")))
+    sample = rows.select("text", "h").join(F.broadcast(ranked.where(F.col("k") <= per).select("code", "h")), "h")
+    return train(sorted((r[0], r[1]) for r in sample.select("text", "code").distinct().collect()))
 
 
 def stretches(scores: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int, float]]:

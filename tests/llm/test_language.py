@@ -109,3 +109,16 @@ def test_repeated_rows_count_once(spark, tmp_path):
     d.write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted((r.row_id, r.segment_no, r.lang) for r in p5_segments(spark, str(tmp_path)).where("row_id >= 900").collect())
     assert got == [(900, 1, "de"), (901, 1, "de"), (902, 1, "de"), (902, 2, "fr")]
+
+
+def test_sample_holds_every_language_wherever_it_stands(spark, monkeypatch):
+    monkeypatch.setattr(G, "TRAIN_DOCUMENTS", 240)
+    docs = [(f"{t} No. {i}", k) for k in ("en", "fr", "de", "th") for i in range(100 if k != "th" else 20) for t in TEXTS[k][:3]]
+    got = []
+    monkeypatch.setattr(G, "train", lambda labelled: got.append(labelled))
+    G.fit(spark.createDataFrame(docs * 2, "text string, lang string").coalesce(1))
+    n = {k: sum(c == k for _, c in got[0]) for k in ("en", "fr", "de", "th")}
+    assert n == {"en": 20, "fr": 20, "de": 20, "th": 20}
+    assert len(set(got[0])) == 80
+    G.fit(spark.createDataFrame([], "text string, lang string"))
+    assert got[1] == []
