@@ -4,8 +4,10 @@ A name is read as given name, core words, trade and legal form; the core (its wo
 is what a company is known by. Cores are ranked by how often they are written. Every core looks for the canonical form
 it may be a noisy copy of among the more frequent cores that share a deletion variant of a word, a joined form or an
 initial (equi-joins): the posterior is the frequency prior of the canonical form times the likelihood of the edits,
-abbreviation or joining that lead from it to the variant, and the variant goes to the maximum, or stays a canonical form
-of its own where that is likelier. Chains are followed to their end.
+abbreviation or joining that lead from it to the variant, and the variant goes to the maximum. That the variant is a form
+of its own is no hypothesis beside these: a core within ``FURTHEST`` edits of a more frequent one always moves, however
+frequent both are, so two companies with names that close are merged; a core stays only where there is none. Chains are
+followed to their end.
 
 Cases: null and blank names, and strings that name no company (labels, remarks, nothing but legal forms), link to
 nothing; strings are compared as they stand, so that two spellings differing in a blank are two names; ties of the
