@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +32,8 @@ from millsheet.session import cut
 EDIT, INITIAL, JOINED = -3.5, -2.5, -2.0
 #: A variant further away than this is a company of its own, however rare it is.
 FURTHEST = 3
+#: Joined forms longer than this meet by their parts, as two deletions give too many variants.
+LONG = 40
 
 LEGAL = {
     "inc": "inc incorporated", "ltd": "ltd limited", "sarl": "sarl", "sas": "sas", "sa": "sa", "gmbh": "gmbh mbh", "group": "group grp groupe gruppe", "corp": "corp corporation",
@@ -102,6 +104,12 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.string()) for k in range(3)], names=["name", "form", "core"])
 
 
+def _parts(word: str, size: int, shifts: Iterable[int]) -> set[str]:
+    """The fifths of a joined form of ``size`` letters, at ``shifts``: two edits, each within two of them, leave one whole."""
+    at = [size * i // 5 for i in range(6)]
+    return {f"p {size} {i} {word[a + x : b + x]}" for i, (a, b) in enumerate(zip(at, at[1:])) for x in shifts if a + x >= 0 and b + x <= len(word)}
+
+
 def _keys(form: str, core: str) -> set[str]:
     """What a core shares with the forms that may be its canonical one."""
     words = core.split()
@@ -109,11 +117,13 @@ def _keys(form: str, core: str) -> set[str]:
         a, b = words
         out = {f"w {v}" for w in words for v in deletions(w, 1)}
         out |= {f"i {w} {o[0]}" for w, o in ((a, b), (b, a))} | {f"i {v} {o[0]}" for w, o in ((a, b), (b, a)) for v in deletions(w, 1)}
-        return out | {f"j {v}" for j in (a + b, b + a) for v in deletions(j, 1)}
+        return out | {k for j in (a + b, b + a) for k in (_parts(j, len(j), (0,)) if len(j) > LONG else {f"j {v}" for v in deletions(j, 2)})}
     if form == "initial":
         return {f"i {v} {words[1]}" for v in deletions(words[0], 1)}
     if form == "one":
-        return {f"j {v}" for v in deletions(core, 1)}
+        n = len(core)
+        out = {f"j {v}" for v in deletions(core, 2)} if n <= LONG + 2 else set()  # as many as the likelihood allows edits
+        return out.union(*(_parts(core, size, range(-2, 3)) for size in range(max(LONG + 1, n - 2), n + 3)))
     return {f"w {w}" for w in words}
 
 

@@ -1,4 +1,6 @@
-from millsheet.llm.names import likelihood, link_names, linked_pairs, read_name
+import random
+
+from millsheet.llm.names import _keys, _parts, likelihood, link_names, linked_pairs, read_name
 
 SAME = [
     "Fouddeppaz Sajgoh Stahlbau Inc.", "FOUDDEPPAZ SAJGOH", "Sajgho Fouddeppaz Inc.", "FouddeppazSajgoh Stahlbau", "Fouddeppaz S. Stahlbau Inc.", "The Fouddeppaz Sajgoh Company", "Foddeppaz Sajgoh Incorporated",
@@ -41,3 +43,23 @@ def test_chains_end_at_one_form(spark):
 
 def test_empty(spark):
     assert linked_pairs(link_names(spark.createDataFrame([], "name string"))).count() == 0
+
+
+def test_two_wrong_letters_in_a_joined_name(spark):
+    names = ["Fouddeppaz Sajgoh"] * 3 + ["Foudxeppazsajgqh", "Foudxeppqzsajgqh"]
+    got = {r.name: r.canonical for r in link_names(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert got["Foudxeppazsajgqh"] == "fouddeppaz sajgoh"
+    assert got["Foudxeppqzsajgqh"] != "fouddeppaz sajgoh"
+
+
+def test_keys_of_long_joined_names_meet():
+    rng = random.Random(3)
+    for n in (36, 39, 40, 41, 43, 60, 5000):
+        j = "".join(rng.choices("abcdefghij", k=n))
+        own = _keys("pair", f"{j[: n // 2]} {j[n // 2 :]}") if n < 100 else _parts(j, n, (0,))
+        for _ in range(20):
+            w = list(j)
+            for _ in range(2):
+                i = rng.randrange(len(w) - 1)
+                w[i : i + 2] = rng.choice(([w[i]], [w[i], "x", w[i + 1]], ["x", w[i + 1]], [w[i + 1], w[i]]))
+            assert own & _keys("one", "".join(w)), (n, j, w)
