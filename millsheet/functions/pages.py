@@ -51,15 +51,58 @@ def deskew_angle(a: Column) -> Column:
     return F.when(F.abs(turn) < 0.3, 0.0).otherwise(turn)
 
 
-def image_type(head: Column) -> Column:
-    """The kind of an image file by its first bytes."""
-    starts = lambda h: F.substring(head, 1, len(h) // 2) == F.to_binary(F.lit(h), F.lit("hex"))
-    return F.when(starts("FFD8FF"), "jpeg").when(starts("89504E470D0A1A0A"), "png").when(starts("47494638"), "gif").when(starts("52494646"), "webp")
+def _at(content: Column, place: int, head: str) -> Column:
+    """Whether the bytes from ``place`` (from 0) are these, given as hex digits."""
+    return F.substring(content, place + 1, len(head) // 2) == F.to_binary(F.lit(head), F.lit("hex"))
+
+
+def image_type(content: Column) -> Column:
+    """The kind of an image file of at least 50 bytes by its first bytes, null if it is none."""
+    return F.when(F.length(content) < 50, None).when(_at(content, 0, "FFD8FF"), "jpeg").when(_at(content, 0, "89504E470D0A1A0A"), "png").when(_at(content, 0, "474946383761") | _at(content, 0, "474946383961"), "gif").when(_at(content, 0, "52494646") & _at(content, 8, "57454250"), "webp")
+
+
+def image_check(content: Column) -> Column:
+    """What becomes of fetched content: an image of at least 512 bytes is taken."""
+    return F.when(F.length(content) < 512, "too small").when(image_type(content).isNull(), "no image").otherwise("ok")
 
 
 def is_pdf(content: Column) -> Column:
-    """Whether content is a PDF file of more than 1024 bytes."""
-    return (F.length(content) > 1024) & (F.substring(content, 1, 5) == F.to_binary(F.lit("255044462D"), F.lit("hex")))
+    """Whether content begins as a PDF file does."""
+    return _at(content, 0, "255044462D")
+
+
+def pdf_check(content: Column) -> Column:
+    """What becomes of fetched content: a PDF file of at least 1024 bytes is taken."""
+    return F.when(F.length(content) < 1024, "too small").when(~is_pdf(content), "no PDF").otherwise("ok")
+
+
+def pdf_present(content: Column) -> Column:
+    """Whether a file that is there already needs no fetching: a PDF file of more than 1024 bytes."""
+    return is_pdf(content) & (F.length(content) > 1024)
+
+
+def is_pdf_name(name: Column) -> Column:
+    """Whether a file's suffix, in any letter case, is the only one that is read."""
+    return F.lower(name).endswith(".pdf")
+
+
+def corner_bbox(word: Column) -> Column:
+    """x, y, width, height of a word of the text layer given by its corners x0, y0, x1, y1, cut to whole numbers."""
+    return F.array(word["x0"].cast("int"), word["y0"].cast("int"), (word["x1"] - word["x0"]).cast("int"), (word["y1"] - word["y0"]).cast("int"))
+
+
+def percent(confidence: Column) -> Column:
+    """A confidence between 0 and 1 on the scale of 100."""
+    return confidence * 100
+
+
+#: How the outcomes are shown: fixed values.
+OUTCOME_MARKS = {"OK": "\u2713", "WRONG": "\u2715", "MISS": "\u00b7", "FP": "!", "\u2014": "\u2013", "missing-json": "?"}
+
+
+def outcome_mark(outcome: Column) -> Column:
+    marks = F.create_map(*[F.lit(x) for kv in OUTCOME_MARKS.items() for x in kv])
+    return F.coalesce(F.try_element_at(marks, F.coalesce(outcome, F.lit("\u2014"))), F.lit("?"))
 
 
 def confidence_band(c: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,38 +18,40 @@ def collapse(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", " ")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
+def quoted(s: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def find_all(text: Column, pattern: str, groups: int = 0, offsets: bool = False) -> Column:
-    """All matches as array<struct<k, g0..gn[, start]>>; ``start`` counts code points.
+def let_sql(value: str, name: str, body: str) -> str:
+    """``body`` (SQL) of a value that is evaluated once, however often the body names it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-    Offsets come from the pieces between the matches: the n-th match starts after n + 1 pieces and n matches.
-    """
-    whole = F.struct(*[F.regexp_extract_all(text, F.lit(pattern), F.lit(i)).alias(f"g{i}") for i in range(groups + 1)], *([F.split(text, pattern, -1).alias("pieces")] if offsets else []))
-    total = lambda a, m: F.aggregate(F.slice(a, F.lit(1), m), F.lit(0), lambda s, x: s + F.length(x))
 
-    def rows(w: Column) -> Column:
-        def one(i: Column) -> Column:
-            cols = [i.alias("k"), *(w[f"g{k}"][i].alias(f"g{k}") for k in range(groups + 1))]
-            if offsets:
-                cols.append((total(w["pieces"], i + 1) + total(w["g0"], i)).alias("start"))
-            return F.struct(*cols)
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {quoted(r'(?U)^\s+|\s+$')}, '')"
+
 
-        kind = "array<struct<k:int," + ",".join(f"g{k}:string" for k in range(groups + 1)) + (",start:int>>" if offsets else ">>")
-        return F.when(F.size(w["g0"]) > 0, F.transform(F.sequence(F.lit(0), F.size(w["g0"]) - 1), one)).otherwise(F.array().cast(kind))
+def collapse_sql(x: str) -> str:
+    return f"regexp_replace({x}, {quoted(r'(?U)\s+')}, ' ')"
 
-    return let(whole, rows)
 
+def find_all(text: str, pattern: str, groups: int = 0) -> Column:
+    """All matches in ``text`` (SQL) as array<struct<k, g0..gn, start>>; ``start`` counts code points.
 
-def first_in(vocabulary: list[str], context: Column) -> Column:
-    """The first word of the vocabulary that the context contains, else null."""
-    out = F.lit(None).cast("string")
-    for w in reversed(vocabulary):
-        out = F.when(F.contains(context, F.lit(w)), F.lit(w)).otherwise(out)
-    return out
+    Offsets come from the pieces between the matches: the n-th match starts after n + 1 pieces and n matches. Their
+    lengths are summed in blocks of the root of their number, so that n matches cost n to the power of 1.5 at most.
+    """
+    p = quoted(pattern)
+    total = lambda a: f"aggregate({a}, 0, (s, x) -> s + x)"
+    of = "".join(f", 'g{i}', regexp_extract_all({text}, {p}, {i})" for i in range(1, groups + 1))
+    one = ", ".join(f"'g{i}', w.g{i}[k]" for i in range(1, groups + 1))
+    start = f"sums[cast(k div b as int)] + {total('slice(steps, cast(k div b as int) * b + 1, k - cast(k div b as int) * b)')} + length(w.pieces[k])"
+    rows = f"transform(w.g0, (g, k) -> named_struct('k', k, 'g0', g{', ' + one if one else ''}, 'start', {start}))"
+    sums = let_sql(f"transform(sequence(0, cast((size(steps) - 1) div b as int)), i -> {total('slice(steps, i * b + 1, b)')})", "blocks", f"transform(blocks, (x, i) -> {total('slice(blocks, 1, i)')})")
+    inner = let_sql("transform(w.g0, (g, k) -> length(w.pieces[k]) + length(g))", "steps", let_sql("cast(ceil(sqrt(size(steps))) as int)", "b", let_sql(sums, "sums", rows)))
+    kind = "array<struct<k:int," + ",".join(f"g{k}:string" for k in range(groups + 1)) + ",start:int>>"
+    return F.expr(let_sql(f"named_struct('g0', regexp_extract_all({text}, {p}, 0){of}, 'pieces', split({text}, {p}, -1))", "w", f"if(size(w.g0) > 0, {inner}, cast(array() as {kind}))"))
 
 
 def _latin() -> tuple[str, str]:
@@ -96,11 +97,10 @@ def eval_normalize_qty(c: Column) -> Column:
     return F.replace(F.replace(eval_normalize(c), F.lit("kgs"), F.lit("kg")), F.lit("lbs"), F.lit("lb"))
 
 
-def date_text(day: Column, month: Column, year: Column) -> Column:
+def date_text_sql(day: str, month: str, year: str) -> str:
     """``DD/MM/YYYY``; two-digit years below 50 are 20xx, others 19xx; days that don't exist are written all the same."""
-    y = F.when(year < 50, year + 2000).when(year < 100, year + 1900).otherwise(year)
-    two = lambda x: F.lpad(x.cast("string"), 2, "0")
-    return F.concat_ws("/", two(day), two(month), F.lpad(y.cast("string"), 4, "0"))
+    y = let_sql(year, "y", "if(y < 50, y + 2000, if(y < 100, y + 1900, y))")
+    return f"concat_ws('/', lpad(cast({day} as string), 2, '0'), lpad(cast({month} as string), 2, '0'), lpad(cast({y} as string), 4, '0'))"
 
 
 def preview(c: Column, size: int = 30) -> Column:

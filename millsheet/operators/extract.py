@@ -1,8 +1,12 @@
 """Field extraction from document text: candidates by ordered rules and trigger words, and the best value of each field.
 
-All candidates of a document come from one projection: every rule is an array expression on the text column, the arrays
-are joined and exploded once, so the text is scanned once and nothing is shuffled before the choice of the best value.
+All candidates of a document come from one projection: every rule is an array expression on the text column, so the table
+is scanned once and nothing is shuffled before the choice of the best value. The expressions are SQL text, which is
+parsed in one go (built node by node they cost the driver seconds). Each rule passes over the text once, and once more
+only where it needs the words before its matches; all work on the matches of a document is in proportion to their number.
 ``ord`` (rule, line, trigger, position) carries the order of candidates, which decides between equal confidences.
+
+The extractors take the text as SQL (a column's name or an expression) and give SQL of an array of candidates.
 """
 
 from __future__ import annotations
@@ -11,161 +15,158 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millsheet.functions import rules
-from millsheet.functions.text import collapse, date_text, find_all, first_in, let, strip
+from millsheet.functions.text import collapse_sql, date_text_sql, let_sql, quoted, strip_sql
 
 _I = "(?iuU)"
 CANDIDATE = "struct<ord: array<int>, value: string, confidence: double, source: string, raw_text: string>"
+_NONE = f"cast(array() as array<{CANDIDATE}>)"
 
 
-def _candidate(order: list[Column], value: Column, confidence: Column, source: Column, raw: Column) -> Column:
-    return F.struct(F.array(*[o.cast("int") for o in order]).alias("ord"), value.alias("value"), confidence.cast("double").alias("confidence"), source.alias("source"), raw.alias("raw_text"))
-
-
-def _none() -> Column:
-    return F.expr(f"cast(array() as array<{CANDIDATE}>)")
-
+def _candidate(order: list[str], value: str, confidence: str, source: str, raw: str) -> str:
+    places = ", ".join(f"cast({o} as int)" for o in order)
+    return f"named_struct('ord', array({places}), 'value', {value}, 'confidence', cast({confidence} as double), 'source', {source}, 'raw_text', {raw})"
 
-def _joined(parts: list[Column]) -> Column:
-    return F.concat(_none(), *parts)
 
+def _joined(parts: list[str]) -> str:
+    return f"concat({', '.join([_NONE, *parts])})"
 
-def project_ids(text: Column) -> Column:
-    def of_rule(r: int, pattern: str, conf: float, source: str) -> Column:
-        group = 1 if r in (0, 4) else 0
-        found = F.transform(find_all(text, _I + pattern, group), lambda m: _candidate([F.lit(r), m["k"]], F.upper(strip(m[f"g{group}"])), F.lit(conf), F.lit(source), m["g0"]))
-        return F.filter(found, lambda c: ~c["value"].rlike(r"^\d{4}$") & (F.length(c["value"]) <= 15))
-
-    return _joined([of_rule(r, *rule) for r, rule in enumerate(rules.PROJECT_ID)])
 
+def _numbered(words: list[str]) -> str:
+    """A vocabulary with the place of each word."""
+    return "array(" + ", ".join(f"named_struct('k', {k}, 'w', {quoted(w)})" for k, w in enumerate(words)) + ")"
 
-def supplier_triggers(text: Column) -> Column:
-    return let(F.split(text, "\n", -1), _supplier_lines)
 
+def _words(words: list[str]) -> str:
+    return f"array({', '.join(map(quoted, words))})"
 
-def _supplier_lines(lines: Column) -> Column:
-    n = F.size(lines)
-    suffixed = lambda s: F.exists(F.array(*[F.lit(x) for x in rules.CORPORATE_SUFFIXES]), lambda x: F.contains(s, x))
 
-    def of_line(i: Column) -> Column:
-        near = F.filter(F.transform(F.sequence(i, F.least(i + 2, n - 1)), lambda j: F.struct(j.alias("j"), strip(lines[j]).alias("c"))), lambda x: (F.length(x["c"]) >= 3) & suffixed(x["c"]))
+def project_ids(text: str) -> str:
+    def of_rule(r: int, pattern: str, conf: float, source: str) -> str:
+        p = quoted(_I + pattern)
+        # what a group holds is read from its own match
+        taken = f"regexp_extract(g, {p}, 1)" if r in (0, 4) else "g"
+        found = f"transform(regexp_extract_all({text}, {p}, 0), (g, k) -> {_candidate([str(r), 'k'], f'upper({strip_sql(taken)})', str(conf), quoted(source), 'g')})"
+        return f"filter({found}, c -> not rlike(c.value, {quoted(r'^\d{4}$')}) and length(c.value) <= 15)"
 
-        def of_trigger(b: Column, k: int, t: str) -> Column:
-            rows = F.transform(F.filter(b["near"], lambda x: F.lower(x["c"]) != t), lambda x: _candidate([i, F.lit(k), x["j"]], collapse(x["c"]), F.lit(0.8), F.lit(f"trigger_{t}"), x["c"]))
-            return F.when(F.contains(b["low"], F.lit(t)), rows).otherwise(_none())
+    return _joined([of_rule(r, *rule) for r, rule in enumerate(rules.PROJECT_ID)])
 
-        return let(F.struct(F.lower(lines[i]).alias("low"), near.alias("near")), lambda b: _joined([of_trigger(b, k, t) for k, t in enumerate(rules.SUPPLIER_TRIGGERS)]))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), n - 1), of_line))
+def supplier_triggers(text: str) -> str:
+    """Lines with a company's suffix that stand at most two lines below a trigger, once for every trigger."""
+    line = let_sql(strip_sql("l"), "c", f"named_struct('low', lower(l), 'j', j, 'c', c, 'ok', length(c) >= 3 and exists({_words(rules.CORPORATE_SUFFIXES)}, s -> contains(c, s)))")
+    rows = f"transform(filter(near, y -> lower(y.c) <> t.w), y -> {_candidate(['x.j', 't.k', 'y.j'], collapse_sql('y.c'), '0.8', "concat('trigger_', t.w)", 'y.c')})"
+    of_line = let_sql("filter(slice(lines, x.j + 1, 3), y -> y.ok)", "near", f"if(size(near) = 0, {_NONE}, flatten(transform(filter({_numbered(rules.SUPPLIER_TRIGGERS)}, t -> contains(x.low, t.w)), t -> {rows})))")
+    return let_sql(f"transform(split({text}, '\\n', -1), (l, j) -> {line})", "lines", f"flatten(transform(lines, x -> {of_line}))")
 
 
-def _quoted(s: str) -> str:
+def _plain_pattern(s: str) -> str:
     return "".join("\\" + c if c in ".+*?()[]{}|^$\\" else c for c in s)
 
 
-def supplier_letterheads(text: Column) -> Column:
-    top = let(F.split(text, "\n", -1), lambda lines: F.array_join(F.slice(lines, F.lit(1), F.greatest(F.lit(5), F.floor(F.size(lines) / 5).cast("int"))), " "))
-    return let(top, _letterheads)
-
+def supplier_letterheads(text: str) -> str:
+    def of_suffix(k: int, suffix: str) -> str:
+        p = quoted(rf"(?U)\b([A-Z][A-Za-z\s,.&-]+{_plain_pattern(suffix)}\.?)\b")
+        found = f"transform(regexp_extract_all(head, {p}, 0), (g, k) -> {_candidate(['1000000000', str(k), 'k'], collapse_sql(strip_sql('g')), '0.6', quoted('letterhead'), 'g')})"
+        # a suffix that the header lacks needs no search
+        return f"if(contains(head, {quoted(suffix)}), filter({found}, c -> not exists({_words(rules.NOT_A_SUPPLIER)}, x -> contains(lower(c.value), x))), {_NONE})"
 
-def _letterheads(head: Column) -> Column:
-    def of_suffix(k: int, suffix: str) -> Column:
-        pattern = rf"(?U)\b([A-Z][A-Za-z\s,.&-]+{_quoted(suffix)}\.?)\b"
-        found = F.transform(find_all(head, pattern, 1), lambda m: _candidate([F.lit(1_000_000_000), F.lit(k), m["k"]], collapse(strip(m["g1"])), F.lit(0.6), F.lit("letterhead"), m["g0"]))
-        return F.filter(found, lambda c: ~F.exists(F.array(*[F.lit(x) for x in rules.NOT_A_SUPPLIER]), lambda x: F.contains(F.lower(c["value"]), x)))
+    head = let_sql(f"split({text}, '\\n', -1)", "lines", "array_join(slice(lines, 1, greatest(5, cast(size(lines) div 5 as int))), ' ')")
+    return let_sql(head, "head", _joined([of_suffix(k, s) for k, s in enumerate(rules.CORPORATE_SUFFIXES)]))
 
-    # a suffix that the header lacks needs no search
-    return _joined([F.when(F.contains(head, F.lit(s)), of_suffix(k, s)).otherwise(_none()) for k, s in enumerate(rules.CORPORATE_SUFFIXES)])
 
-
-def material_patterns(text: Column) -> Column:
-    def of_rule(r: int, pattern: str, conf: float, source: str) -> Column:
-        return F.transform(find_all(text, _I + pattern), lambda m: _candidate([F.lit(r), m["k"]], collapse(strip(m["g0"])), F.lit(conf), F.lit(source), m["g0"]))
+def material_patterns(text: str) -> str:
+    def of_rule(r: int, pattern: str, conf: float, source: str) -> str:
+        return f"transform(regexp_extract_all({text}, {quoted(_I + pattern)}, 0), (g, k) -> {_candidate([str(r), 'k'], collapse_sql(strip_sql('g')), str(conf), quoted(source), 'g')})"
 
     return _joined([of_rule(r, *rule) for r, rule in enumerate(rules.MATERIAL)])
 
 
-def material_triggers(text: Column) -> Column:
-    def of_line(line: Column, i: Column) -> Column:
-        low = F.lower(line)
-        value = strip(F.split(strip(F.split(line, "[:=-]", 2)[1]), "[,;\n]", -1)[0])
-        fits = line.rlike("[:=-]") & (F.length(value) > 2) & (F.length(value) < 100)
-        return F.when(fits, _joined([F.when(F.contains(low, F.lit(t)), F.array(_candidate([F.lit(100), i, F.lit(k)], value, F.lit(0.7), F.lit(f"trigger_{t}"), line))).otherwise(_none()) for k, t in enumerate(rules.MATERIAL_TRIGGERS)])).otherwise(_none())
+def material_triggers(text: str) -> str:
+    value = strip_sql(f"split({strip_sql("split(line, '[:=-]', 2)[1]")}, '[,;\\n]', -1)[0]")
+    rows = f"transform(filter({_numbered(rules.MATERIAL_TRIGGERS)}, t -> contains(lower(line), t.w)), t -> {_candidate(['100', 'i', 't.k'], 'value', '0.7', "concat('trigger_', t.w)", 'line')})"
+    of_line = f"if(rlike(line, '[:=-]'), {let_sql(value, 'value', f'if(length(value) > 2 and length(value) < 100, {rows}, {_NONE})')}, {_NONE})"
+    return f"flatten(transform(split({text}, '\\n', -1), (line, i) -> {of_line}))"
+
 
-    return F.flatten(F.transform(F.split(text, "\n", -1), of_line))
+def _with_context(text: str, pattern: str, reach: int, least: int, body: str) -> str:
+    """``body`` of the matches ``m`` (at least ``least`` letters each) and of ``ctx``: each match after the ``reach`` letters before it, in lower case.
 
+    These letters lie in the piece of text before the match and in no more than reach / least matches and pieces before that.
+    """
+    p, back = quoted(_I + pattern), -(-reach // least)
+    before = f"right(concat(array_join(slice(both, greatest(k - {back}, 0) + 1, least(k, {back})), ''), right(pieces[k], {reach})), {reach})"
+    ctx = let_sql(f"transform(m, (g, k) -> concat(right(pieces[k], {reach}), g))", "both", f"transform(m, (g, k) -> lower(concat({before}, g)))")
+    return let_sql(f"regexp_extract_all({text}, {p}, 0)", "m", f"if(size(m) = 0, {_NONE}, {let_sql(let_sql(f'split({text}, {p}, -1)', 'pieces', ctx), 'ctx', body)})")
 
-def quantities(text: Column) -> Column:
-    def one(m: Column) -> Column:
-        begin = F.greatest(m["start"] - 50, F.lit(0))
-        context = F.lower(F.substr(text, begin + 1, m["start"] + F.length(m["g0"]) - begin))
-        t = first_in(rules.QUANTITY_TRIGGERS, context)
-        return _candidate([F.lit(0), m["k"]], F.concat_ws(" ", F.replace(m["g1"], F.lit(","), F.lit(".")), F.lower(m["g2"])), F.when(t.isNull(), 0.7).otherwise(0.85), F.coalesce(F.concat(F.lit("trigger_"), t), F.lit("pattern")), m["g0"])
 
-    return _joined([F.transform(find_all(text, _I + rules.QUANTITY, 2, offsets=True), one)])
+def quantities(text: str) -> str:
+    p = quoted(_I + rules.QUANTITY)
+    trigger = "case " + " ".join(f"when contains(ctx[k], {quoted(w)}) then {quoted(w)}" for w in rules.QUANTITY_TRIGGERS) + " end"
+    one = let_sql(trigger, "t", _candidate(["0", "k"], f"concat_ws(' ', replace(regexp_extract(g, {p}, 1), ',', '.'), lower(regexp_extract(g, {p}, 2)))", "if(t is null, 0.7, 0.85)", "coalesce(concat('trigger_', t), 'pattern')", "g"))
+    return _with_context(text, rules.QUANTITY, 50, 2, f"transform(m, (g, k) -> {one})")
 
 
 #: Confidence after 0, 1, 2 ... matches near a trigger, by the rule's confidence.
 _LADDER = {0.95: [0.95, 1.0], 0.9: [0.9, 1.0], 0.85: [0.85, 0.95, 1.0], 0.8: [0.8, 0.9, 1.0]}
 
 
-def dates(text: Column) -> Column:
+def dates(text: str) -> str:
     """The bonus of a match near a trigger stays for the later matches of its rule."""
-    months = F.create_map(*[F.lit(x) for kv in rules.MONTHS.items() for x in kv])
-    month = lambda name, size: F.coalesce(F.try_element_at(months, F.substring(F.lower(name), 1, size)), F.lit(1))
-
-    def near(m: Column) -> Column:
-        begin = F.greatest(m["start"] - 30, F.lit(0))
-        context = F.lower(F.substr(text, begin + 1, m["start"] + F.length(m["g0"]) - begin))
-        return F.when(first_in(["date", "effective", "shipped"], context).isNotNull(), 1).otherwise(0)
-
-    def of_rule(r: int, pattern: str, conf: float, source: str) -> Column:
-        def one(m: Column, flags: Column) -> Column:
-            g = [m[f"g{k}"] for k in (1, 2, 3)]
-            if source in ("iso", "iso_dot"):
-                value = date_text(g[2].cast("int"), g[1].cast("int"), g[0].cast("int"))
-            elif source in ("eu_dot", "slash"):
-                value = date_text(*[x.cast("int") for x in g])
-            elif source == "en_textual":
-                value = date_text(g[1].cast("int"), month(g[0], 3), g[2].cast("int"))
-            else:
-                value = date_text(g[0].cast("int"), month(g[1], 4), g[2].cast("int"))
-            ladder = _LADDER[conf]
-            so_far = F.aggregate(F.slice(flags, F.lit(1), m["k"] + 1), F.lit(0), lambda s, x: s + x)
-            return _candidate([F.lit(r), m["k"]], value, F.array(*[F.lit(x) for x in ladder])[F.least(so_far, F.lit(len(ladder) - 1))], F.lit(source), m["g0"])
-
-        found = find_all(text, _I + pattern, 3, offsets=True)
-        return let(found, lambda f: let(F.transform(f, near), lambda flags: F.transform(f, lambda m: one(m, flags))))
+    months = "map(" + ", ".join(f"{quoted(n)}, {i}" for n, i in rules.MONTHS.items()) + ")"
+
+    def of_rule(r: int, pattern: str, conf: float, source: str) -> str:
+        g1, g2, g3 = (f"regexp_extract(g, {quoted(_I + pattern)}, {i})" for i in (1, 2, 3))
+        whole = lambda x: f"cast({x} as int)"
+        month = lambda name, size: f"coalesce(try_element_at({months}, substring(lower({name}), 1, {size})), 1)"
+        if source in ("iso", "iso_dot"):
+            value = date_text_sql(whole(g3), whole(g2), whole(g1))
+        elif source in ("eu_dot", "slash"):
+            value = date_text_sql(whole(g1), whole(g2), whole(g3))
+        elif source == "en_textual":
+            value = date_text_sql(whole(g2), month(g1, 3), whole(g3))
+        else:
+            value = date_text_sql(whole(g1), month(g2, 4), whole(g3))
+        # the places of the first and the second match near a trigger say how far up the ladder each match is
+        steps = _LADDER[conf]
+        sure = "case " + (f"when second > 0 and k + 1 >= second then {steps[2]}D " if len(steps) > 2 else "") + f"when first > 0 and k + 1 >= first then {steps[1]}D else {steps[0]}D end"
+        near = "transform(ctx, x -> if(contains(x, 'date') or contains(x, 'effective') or contains(x, 'shipped'), 1, 0))"
+        after = let_sql("if(first > 0, array_position(slice(flags, cast(first as int) + 1, size(flags)), 1), 0)", "next", f"transform(array(if(next > 0, first + next, 0)), second -> transform(m, (g, k) -> {_candidate([str(r), 'k'], value, sure, quoted(source), 'g')}))[0]")
+        return _with_context(text, pattern, 30, 6, let_sql(near, "flags", let_sql("array_position(flags, 1)", "first", after)))
 
     return _joined([of_rule(r, *rule) for r, rule in enumerate(rules.DATE)])
 
 
 EXTRACTORS = {
-    "project_id": lambda t: project_ids(t),
-    "supplier": lambda t: F.concat(supplier_triggers(t), supplier_letterheads(t)),
-    "material": lambda t: F.concat(material_patterns(t), material_triggers(t)),
-    "quantity": lambda t: quantities(t),
-    "date": lambda t: dates(t),
+    "project_id": project_ids,
+    "supplier": lambda t: f"concat({supplier_triggers(t)}, {supplier_letterheads(t)})",
+    "material": lambda t: f"concat({material_patterns(t)}, {material_triggers(t)})",
+    "quantity": quantities,
+    "date": dates,
 }
 
 
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select("doc", F.coalesce("text", F.lit("")).alias("text"))
+
+
 def candidates(documents: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """doc, field, ord, value, confidence, source, raw_text of every candidate of ``documents`` (doc, text)."""
-    fields = fields or rules.FIELDS
-    text = F.coalesce("text", F.lit(""))
-    of = lambda f: F.transform(EXTRACTORS[f](text), lambda c: F.struct(F.lit(f).alias("field"), c.alias("c")))
-    return documents.select("doc", F.explode(F.concat(*[of(f) for f in fields])).alias("x")).select("doc", "x.field", "x.c.*")
+    of = lambda f: f"transform({EXTRACTORS[f]('text')}, c -> named_struct('field', '{f}', 'c', c))"
+    found = F.expr(f"explode(concat({', '.join(map(of, fields or rules.FIELDS))}))").alias("x")
+    return _texts(documents).select("doc", found).select("doc", "x.field", "x.c.*")
 
 
-def part(documents: DataFrame, what: Column) -> DataFrame:
-    """The candidates of one array expression."""
-    return documents.select("doc", F.inline(what))
+def part(documents: DataFrame, what: str) -> DataFrame:
+    """The candidates of one array expression on ``text``."""
+    return _texts(documents).select("doc", F.expr(f"inline({what})"))
 
 
 def best(cands: DataFrame) -> DataFrame:
     """The best candidate per document and field: values once, at their first place, with their highest confidence."""
     values = cands.groupBy("doc", "field", "value").agg(F.max("confidence").alias("confidence"), F.min("ord").alias("first_ord"))
-    w = Window.partitionBy("doc", "field").orderBy(F.desc("confidence"), "first_ord")
-    return values.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("doc", "field", "value", "confidence")
+    # the smallest struct of (inverted confidence, place) is the best; no group is sorted in one task
+    first = values.groupBy("doc", "field").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "first_ord", "value")).alias("b"))
+    return first.select("doc", "field", "b.value", (-F.col("b.c")).alias("confidence"))
 
 
 def notes(n_project: Column, n_supplier: Column) -> Column:
@@ -180,21 +181,25 @@ def notes(n_project: Column, n_supplier: Column) -> Column:
     )
 
 
-def best_in_row(cands: Column) -> Column:
-    """The best candidate of an array in candidate order: as ``best``, without leaving the row. Null if it is empty."""
+def best_in_row(cands: str) -> str:
+    """The best candidate of an array in candidate order: as ``best``, without leaving the row. Null if it is empty.
 
-    def of(b: Column) -> Column:
-        def rank(v: Column) -> Column:
-            conf = F.array_max(F.transform(F.filter(b["c"], lambda x: x["value"] == v), lambda x: x["confidence"]))
-            return F.struct((-conf).alias("c"), F.array_position(b["v"], v).alias("p"), v.alias("value"))
-
-        return F.array_min(F.transform(F.array_distinct(b["v"]), rank))["value"]
-
-    return let(F.struct(cands.alias("c"), F.transform(cands, lambda x: x["value"]).alias("v")), of)
+    The first value of the array that some candidate of the highest confidence has; hash sets decide, so long arrays
+    cost no more than in proportion.
+    """
+    sure = let_sql(f"array_max(transform({cands}, x -> x.confidence))", "top", f"transform(filter({cands}, x -> x.confidence = top), x -> x.value)")
+    return f"try_element_at(array_intersect(transform({cands}, x -> x.value), {sure}), 1)"
 
 
 def extract(documents: DataFrame) -> DataFrame:
     """doc, the best value of each field (null if none), and the notes: one projection, no shuffle."""
-    text = F.coalesce("text", F.lit(""))
-    found = documents.select("doc", *[EXTRACTORS[f](text).alias(f) for f in rules.FIELDS])
-    return found.select("doc", *[best_in_row(F.col(f)).alias(f) for f in rules.FIELDS], notes(F.size("project_id"), F.size("supplier")).alias("notes"))
+    found = _texts(documents).select("doc", *[F.expr(EXTRACTORS[f]("text")).alias(f) for f in rules.FIELDS])
+    return found.select("doc", *[F.expr(best_in_row(f)).alias(f) for f in rules.FIELDS], notes(F.size("project_id"), F.size("supplier")).alias("notes"))
+
+
+def extract_with_candidates(documents: DataFrame) -> DataFrame:
+    """As ``extract``, with ``all_candidates`` in candidate order: confidence to three decimals, the first 100 letters of the raw text."""
+    found = _texts(documents).select("doc", *[F.expr(EXTRACTORS[f]("text")).alias(f) for f in rules.FIELDS])
+    of = lambda f: f"transform({f}, c -> named_struct('field', '{f}', 'value', c.value, 'confidence', bround(c.confidence, 3), 'source', c.source, 'raw_text', substring(c.raw_text, 1, 100)))"
+    everything = F.expr(f"concat({', '.join(map(of, rules.FIELDS))})").alias("all_candidates")
+    return found.select("doc", *[F.expr(best_in_row(f)).alias(f) for f in rules.FIELDS], everything, notes(F.size("project_id"), F.size("supplier")).alias("notes"))

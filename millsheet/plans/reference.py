@@ -87,7 +87,7 @@ def _letterhead_sql() -> str:
     no = " OR ".join(f"contains(lower(value), {_lit(w)})" for w in rules.NOT_A_SUPPLIER)
     parts = []
     for k, s in enumerate(rules.CORPORATE_SUFFIXES):
-        p = rf"\b([A-Z][A-Za-z\s,.&-]+{X._quoted(s)}\.?)\b"
+        p = rf"\b([A-Z][A-Za-z\s,.&-]+{X._plain_pattern(s)}\.?)\b"
         parts.append(_found(p, 1, f"doc, 'supplier' AS field, 1000000000 AS o1, {k} AS o2, k AS o3, regexp_replace(trim(g1), '\\s+', ' ', 'g') AS value, CAST(0.6 AS DOUBLE) AS confidence, 'letterhead' AS source, g0 AS raw_text", source=head + " hd").replace("'(?i)", "'"))
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE NOT ({no})"
 
@@ -136,7 +136,7 @@ def _text(spark: SparkSession, sf: str) -> DataFrame:
 
 def _extraction(name: str, array, sql) -> None:  # noqa: ANN001
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return X.part(_text(spark, sf), array(F.col("text"))).drop("ord")
+        return X.part(_text(spark, sf), array("text")).drop("ord")
 
     QUERIES[name], ORACLE[name] = run, _cand_sql(sql())
 
@@ -313,7 +313,7 @@ _scalar("eval_normalize_date", lambda: T.eval_normalize_date(F.regexp_extract("t
 @query("""SELECT o_orderkey AS doc, printf('%02d/%02d/%04d', CAST(1 + o_orderkey % 35 AS INTEGER), CAST(1 + o_orderkey % 14 AS INTEGER), CAST(CASE WHEN o_orderkey % 120 < 50 THEN o_orderkey % 120 + 2000 WHEN o_orderkey % 120 < 100 THEN o_orderkey % 120 + 1900 ELSE o_orderkey % 120 END AS INTEGER)) AS value FROM orders""")
 def normalize_date(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
-    return table(spark, sf, "orders").select(k.alias("doc"), T.date_text((1 + k % 35).cast("int"), (1 + k % 14).cast("int"), (k % 120).cast("int")).alias("value"))
+    return table(spark, sf, "orders").select(k.alias("doc"), F.expr(T.date_text_sql("1 + o_orderkey % 35", "1 + o_orderkey % 14", "o_orderkey % 120")).alias("value"))
 
 
 @query("SELECT result_id, CASE WHEN supplier IS NULL THEN '(none)' WHEN length(supplier) > 30 THEN substr(supplier, 1, 30) || '...' ELSE supplier END AS shown FROM (SELECT DISTINCT result_id, extracted_entities.supplier AS supplier FROM extraction_result)")
@@ -482,8 +482,9 @@ def _status(spark: SparkSession, sf: str) -> DataFrame:
     """What stage each document failed in, null if in none; a document that failed skips the later stages."""
     o = _doc_confidence(spark, sf).withColumn("seen", F.lit(True))
     r = table(spark, sf, "extraction_result").select("document_name").distinct().withColumn("done", F.lit(True))
-    d = table(spark, sf, "documents").select("document_name", "text", "modality").join(o, "document_name", "left").join(r, "document_name", "left")
-    stage = F.when(F.coalesce("text", F.lit("")) == "", "preprocessing").when((F.col("modality") == "scanned") & F.col("seen").isNull(), "ocr").when(F.col("done").isNull(), "extraction")
+    # of the text only a flag is joined
+    d = table(spark, sf, "documents").select("document_name", (F.coalesce("text", F.lit("")) == "").alias("blank"), "modality").join(o, "document_name", "left").join(r, "document_name", "left")
+    stage = F.when(F.col("blank"), "preprocessing").when((F.col("modality") == "scanned") & F.col("seen").isNull(), "ocr").when(F.col("done").isNull(), "extraction")
     return d.select("document_name", stage.alias("error_stage"), F.coalesce("n", F.lit(1)).alias("pages"), F.col("c").alias("confidence"))
 
 
@@ -536,24 +537,26 @@ def deskew_angle(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(F.col(_K).alias("k"), P.deskew_angle(F.expr(_ANGLE).cast("double")).alias("angle"))
 
 
-_HEADS = ["255044462D", "FFD8FFE0", "89504E470D0A1A0A", "4749463839", "5249464600", "3C68746D6C"]
+#: First bytes of files: a PDF, images, what only looks like one (a GIF of no version, a wave file, a cut JPEG), a page of HTML.
+_HEADS = ["255044462D", "FFD8FFE0", "89504E470D0A1A0A", "474946383761", "474946383961", "474946383978", "524946462400000057454250", "524946462400000057415645", "FFD800", "3C68746D6C"]
 
 
 def _files(spark: SparkSession, sf: str) -> DataFrame:
     """Files whose first bytes and lengths vary with the key."""
     k = F.col(_K)
-    head = F.element_at(F.array(*[F.to_binary(F.lit(h), F.lit("hex")) for h in _HEADS]), (k % 6 + 1).cast("int"))
-    return table(spark, sf, "orders").select(k.alias("k"), F.concat(head, F.encode(F.repeat(F.lit("x"), (k % 2000).cast("int")), "utf-8")).alias("content"))
+    head = F.element_at(F.array(*[F.to_binary(F.lit(h), F.lit("hex")) for h in _HEADS]), (k % len(_HEADS) + 1).cast("int"))
+    return table(spark, sf, "orders").select(k.alias("k"), F.concat(head, F.encode(F.repeat(F.lit("x"), (k % 2029).cast("int")), "utf-8")).alias("content"))
 
 
-_FILES = f"(SELECT {_K} AS k, {_K} % 6 AS h, {_K} % 2000 + [{', '.join(str(len(h) // 2) for h in _HEADS)}][CAST({_K} % 6 AS INTEGER) + 1] AS size FROM orders)"
+_FILES = f"(SELECT k, h, length(h) // 2 AS size FROM (SELECT {_K} AS k, [{', '.join(_lit(h) for h in _HEADS)}][CAST({_K} % {len(_HEADS)} AS INTEGER) + 1] || repeat('78', CAST({_K} % 2029 AS INTEGER)) AS h FROM orders))"
+_KIND = "CASE WHEN size < 50 THEN NULL WHEN h LIKE 'FFD8FF%' THEN 'jpeg' WHEN h LIKE '89504E470D0A1A0A%' THEN 'png' WHEN h LIKE '474946383761%' OR h LIKE '474946383961%' THEN 'gif' WHEN h LIKE '52494646________57454250%' THEN 'webp' END"
 
 
-@query(f"SELECT k FROM {_FILES} WHERE h = 0 AND size > 1024")
+@query(f"SELECT k, CASE WHEN size < 1024 THEN 'too small' WHEN h NOT LIKE '255044462D%' THEN 'no PDF' ELSE 'ok' END AS fetched, h LIKE '255044462D%' AND size > 1024 AS present FROM {_FILES}")
 def pdf_magic_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return _files(spark, sf).where(P.is_pdf(F.col("content"))).select("k")
+    return _files(spark, sf).select("k", P.pdf_check(F.col("content")).alias("fetched"), P.pdf_present(F.col("content")).alias("present"))
 
 
-@query(f"SELECT k, CASE h WHEN 1 THEN 'jpeg' WHEN 2 THEN 'png' WHEN 3 THEN 'gif' WHEN 4 THEN 'webp' END AS kind FROM {_FILES} WHERE size >= 512")
+@query(f"SELECT k, {_KIND} AS kind, CASE WHEN size < 512 THEN 'too small' WHEN {_KIND} IS NULL THEN 'no image' ELSE 'ok' END AS fetched FROM {_FILES}")
 def sniff_image_type(spark: SparkSession, sf: str) -> DataFrame:
-    return _files(spark, sf).where(F.length("content") >= 512).select("k", P.image_type(F.col("content")).alias("kind"))
+    return _files(spark, sf).select("k", P.image_type(F.col("content")).alias("kind"), P.image_check(F.col("content")).alias("fetched"))

@@ -102,7 +102,7 @@ def test_best_in_row_equals_best_and_python(documents):
 
 def test_offsets_count_code_points(spark):
     t = "😀 ab😀 12 kg, é 7 mm"
-    d = spark.createDataFrame([(t,)], "t string").select(F.explode(find_all(F.col("t"), r"(?iuU)\d+ (kg|mm)", 1, offsets=True)).alias("m")).select("m.*").collect()
+    d = spark.createDataFrame([(t,)], "t string").select(F.explode(find_all("t", r"(?iuU)\d+ (kg|mm)", 1)).alias("m")).select("m.*").collect()
     assert [(r.start, r.g0, r.g1) for r in d] == [(m.start(), m[0], m[1]) for m in re.finditer(r"\d+ (kg|mm)", t)]
 
 
