@@ -2,14 +2,16 @@
 
 Every source (a document, with what other people wrote about it) has a history of written numbers. Where one amount
 was recorded again in another unit, the history of the logarithm jumps by the logarithm of a known factor. Each
-history is cut by an exact penalised changepoint search (optimal partitioning with PELT pruning, squared error); a
-unit stated beside a value fixes the factor of that value, and a segment without any stated unit takes the unit whose
-factor explains its level shift against a neighbouring segment.
+history is cut by an exact penalised changepoint search (optimal partitioning with PELT pruning, squared error) into
+segments of one level and one unit: a segment in which two different units are stated has infinite cost, so a stated
+unit marks a change where the levels leave it open. All numbers of a segment are converted by the segment's unit: the
+stated one, or, where none is stated, the one whose factor explains the segment's level shift against a neighbouring
+segment. ``hidden_units`` measures how well the levels alone find units, on values whose stated unit is hidden from them.
 
 Cases: a null or blank value, and one without a number, gives no amount; a number without stated or inferred unit has
 ``base_unit`` null; rows repeated under one id count once; a null source is a history of its own per row; extra
-columns of the input are ignored; the history of a hot source is cut into blocks of ``BLOCK`` records, each of which
-may be worked on elsewhere.
+columns of the input are ignored; records without a position stand after those that have one. The history of a hot source
+is cut into blocks of about ``BLOCK`` records, each of which may be worked on elsewhere.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ for _base, _factor, _names in _UNITS:
     for _n in _names.split("|" if "|" in _names else " "):
         UNITS[_n] = (_base, Decimal(_factor))
 
+_FACTORS = sorted(set(UNITS.values()))
+
 #: Number words of 1 to 20, English then French.
 WORDS = {
     w: i % 20 + 1
@@ -161,19 +165,28 @@ def parse(value: str) -> tuple[Decimal, str | None, Decimal | None] | None:
     return (n, u[0], u[1]) if u else (n, None, None)
 
 
-def changepoints(y: list[float], penalty: float = PENALTY) -> list[int]:
-    """Starts of the segments that minimise squared error plus ``penalty`` per segment: exact, with PELT pruning."""
+def changepoints(y: list[float], penalty: float = PENALTY, units: list | None = None) -> list[int]:
+    """Starts of the segments that minimise squared error plus ``penalty`` per segment: exact, with PELT pruning.
+
+    ``units`` (None where not stated) may not differ within a segment. A start whose segment holds two units stays
+    without use however far the segment goes on, so it is dropped for good.
+    """
     n = len(y)
-    if n < 2 or max(y) - min(y) < 1e-9:
+    units = units or [None] * n
+    if n < 2 or max(y) - min(y) < 1e-9 and len({u for u in units if u is not None}) < 2:
         return [0] * bool(n)
     s1, s2 = [0.0], [0.0]
     for v in y:
         s1.append(s1[-1] + v)
         s2.append(s2[-1] + v * v)
-    best, back, alive = [-penalty], [0], [0]
+    best, back = [-penalty], [0]
+    alive: list[tuple[int, object]] = [(0, None)]  # start, unit of the segment from it
     for t in range(1, n + 1):
+        u = units[t - 1]
+        if u is not None:
+            alive = [(s, u) for s, own in alive if own is None or own == u]
         low, at, costs = math.inf, 0, []
-        for s in alive:
+        for s, _ in alive:
             d = s1[t] - s1[s]
             c = best[s] + s2[t] - s2[s] - d * d / (t - s)
             costs.append(c)
@@ -182,8 +195,8 @@ def changepoints(y: list[float], penalty: float = PENALTY) -> list[int]:
         low += penalty
         best.append(low)
         back.append(at)
-        alive = [s for s, c in zip(alive, costs) if c <= low + 1e-12]
-        alive.append(t)
+        alive = [x for x, c in zip(alive, costs) if c <= low + 1e-12]
+        alive.append((t, None))
     starts, t = [], n
     while t > 0:
         t = back[t]
@@ -192,52 +205,44 @@ def changepoints(y: list[float], penalty: float = PENALTY) -> list[int]:
 
 
 def resolve(history: list[tuple[Decimal, str | None, Decimal | None]]) -> list[tuple[int, str | None, Decimal | None]]:
-    """Of each record of a history: segment, and the unit stated for it or inferred from its segment's level shift."""
+    """Of each record of a history: its segment, and that segment's unit (base, factor), stated or inferred from its level shift."""
     y = [math.log10(abs(float(n))) if n else 0.0 for n, _, _ in history]
-    starts = changepoints(y)
+    stated = [None if u is None else (u, f) for _, u, f in history]
+    starts = changepoints(y, PENALTY, stated)
     ends = [*starts[1:], len(y)]
-    out: list[tuple[int, str | None, Decimal | None]] = []
-    if all(f is not None for _, _, f in history):
-        for i, (a, b) in enumerate(zip(starts, ends)):
-            out += [(i, u, f) for _, u, f in history[a:b]]
-        return out
+    unit = [next((x for x in stated[a:b] if x is not None), None) for a, b in zip(starts, ends)]
     level = [sum(y[a:b]) / (b - a) for a, b in zip(starts, ends)]
-    known = []
-    for a, b in zip(starts, ends):
-        votes: dict[tuple[str, Decimal], int] = {}
-        for _, u, f in history[a:b]:
-            if f is not None and u:
-                votes[u, f] = votes.get((u, f), 0) + 1
-        known.append(max(votes, key=lambda k: votes[k]) if votes else None)
+    known = [j for j, x in enumerate(unit) if x and x[0]]
+    out: list[tuple[int, str | None, Decimal | None]] = []
     for i, (a, b) in enumerate(zip(starts, ends)):
-        guess = known[i]
-        if guess is None:
-            near = min((abs(j - i), j) for j in range(len(known)) if known[j])[1] if any(known) else None
-            if near is not None:
-                base, factor = known[near]
-                want = math.log10(float(factor)) - (level[i] - level[near])
-                miss, f = min((abs(math.log10(float(f)) - want), f) for u, f in set(UNITS.values()) if u == base)
-                guess = (base, f) if miss <= TOLERANCE else None
-        for _, u, f in history[a:b]:
-            out.append((i, u, f) if f is not None or u == "" else (i, *(guess or (None, None))))
+        got = unit[i]
+        if got is None and known:
+            # the segments with a unit, nearest first: the first against which a known factor explains the shift
+            for j in sorted(known, key=lambda j: (abs(j - i), j)):
+                base, factor = unit[j]
+                want = math.log10(float(factor)) - (level[i] - level[j])
+                miss, f = min((abs(math.log10(float(f)) - want), f) for u, f in _FACTORS if u == base)
+                if miss <= TOLERANCE:
+                    got = (base, f)
+                    break
+        out += [(i, *(got or (None, None)))] * (b - a)
     return out
 
 
 SCHEMA = "source_table string, row_id long, number double, base_unit string, amount long, stated boolean, segment_no int"
+_ARROW = pa.schema([("source_table", pa.string()), ("row_id", pa.int64()), ("number", pa.float64()), ("base_unit", pa.string()), ("amount", pa.int64()), ("stated", pa.bool_()), ("segment_no", pa.int32())])
+HIDDEN = "source_table string, row_id long, base_unit string, amount long, found_unit string, found_amount long"
+_HIDDEN = pa.schema([("source_table", pa.string()), ("row_id", pa.int64()), ("base_unit", pa.string()), ("amount", pa.int64()), ("found_unit", pa.string()), ("found_amount", pa.int64())])
 
 
-def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keep: list[tuple] = []
-    key, seen = None, None
-    out: list[tuple] = []
+def _amount(n: Decimal, f: Decimal | None) -> int | None:
+    return int((n * f).quantize(Decimal(1), ROUND_HALF_UP)) if f is not None and abs(n * f) < 2**62 else None
 
-    def flush() -> None:
-        got = resolve([p for _, _, p in keep])
-        for (t, i, p), (seg, u, f) in zip(keep, got):
-            amount = int((p[0] * f).quantize(Decimal(1), ROUND_HALF_UP)) if f is not None and abs(p[0] * f) < 2**62 else None
-            out.append((t, i, float(p[0]), u or None, amount, p[2] is not None, seg))
 
-    schema = pa.schema([("source_table", pa.string()), ("row_id", pa.int64()), ("number", pa.float64()), ("base_unit", pa.string()), ("amount", pa.int64()), ("stated", pa.bool_()), ("segment_no", pa.int32())])
+def _histories(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The histories of sorted rows: (table, id, (number, base, factor)) of every record with a number."""
+    keep: list[tuple] = []
+    key, seen = None, None
     for b in batches:
         for k, t, i, v, c in zip(*(b.column(n).to_pylist() for n in ("history", "source_table", "row_id", "value", "context"))):
             if (k, t, i) == seen:
@@ -248,36 +253,77 @@ def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if p[1] is None and c and (u := stated_unit(c)):
                 p = (p[0], *u)
-            if k != key or len(keep) >= BLOCK:
-                flush()
-                keep.clear()
-                key = k
+            if k != key or len(keep) >= 4 * BLOCK:
+                if keep:
+                    yield keep
+                keep, key = [], k
             keep.append((t, i, p))
-        if len(out) > 5000:
+    if keep:
+        yield keep
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for r in rows:
+        out.append(r)
+        if len(out) >= 8000:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
             out.clear()
-    flush()
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
 
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for h in _histories(batches):
+            for (t, i, p), (segment, u, f) in zip(h, resolve([p for _, _, p in h])):
+                yield t, i, float(p[0]), u or None, _amount(p[0], f), p[2] is not None, segment
+
+    return _batches(rows(), _ARROW)
+
+
+def _solve_hidden(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows() -> Iterator[tuple]:
+        for h in _histories(batches):
+            for fold in range(3):
+                got = resolve([(p[0], None, None) if k % 3 == fold and p[2] is not None else p for k, (_, _, p) in enumerate(h)])
+                for k in range(fold, len(h), 3):
+                    t, i, (n, u, f) = h[k]
+                    if f is not None:
+                        yield t, i, u, _amount(n, f), got[k][1] or None, _amount(n, got[k][2])
+
+    return _batches(rows(), _HIDDEN)
+
+
+def _in_order(records: DataFrame) -> DataFrame:
+    """The records by history, each in its order."""
+    rows = records.where(F.col("value").isNotNull() & F.col("row_id").isNotNull()).select(
+        F.coalesce("source", F.concat(F.lit("\u0002"), F.col("row_id").cast("string"))).alias("source"), F.floor(F.coalesce(F.col("position"), F.lit(0)) / BLOCK).alias("block"),
+        "source_table", "row_id", F.col("position").cast("long").alias("position"), "value", "context",
+    )
+    # blocks whose positions repeat or are missing too often are cut further; there are few of them
+    hot = rows.groupBy("source", "block").agg(F.count("*").alias("n")).where(F.col("n") > 4 * BLOCK).select("source", "block", F.ceil(F.col("n") / BLOCK).alias("parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("source_table", "row_id"), F.col("parts")), F.lit(0))
+    return (
+        rows.join(hot, ["source", "block"], "left")
+        .select(F.concat_ws("\u0001", "source", F.col("block").cast("string"), part.cast("string")).alias("history"), "source_table", "row_id", "position", "value", "context")
+        .repartition("history")
+        .sortWithinPartitions("history", F.asc_nulls_last("position"), "source_table", "row_id")
+        .drop("position")
+    )
+
+
 def normalise_quantities(records: DataFrame) -> DataFrame:
     """Amounts of ``records`` (source_table, row_id, source, position, value, context) in base units.
 
     One row per record that has a number; see the module for the cases. ``position`` orders a source's history.
     """
-    block = F.floor(F.coalesce(F.col("position"), F.col("row_id")) / BLOCK)
-    return (
-        records.where(F.col("value").isNotNull() & F.col("row_id").isNotNull())
-        .select(
-            F.concat_ws("\u0001", F.coalesce("source", F.concat(F.lit("\u0002"), F.col("row_id").cast("string"))), block.cast("string")).alias("history"),
-            "source_table", "row_id", F.col("position").cast("long").alias("position"), "value", "context",
-        )
-        .repartition("history")
-        .sortWithinPartitions("history", "position", "source_table", "row_id")
-        .drop("position")
-        .mapInArrow(_solve, SCHEMA)
-    )
+    return _in_order(records).mapInArrow(_solve, SCHEMA)
+
+
+def hidden_units(records: DataFrame) -> DataFrame:
+    """Of every record with a stated unit, that and what its history says when the unit is hidden (each third of a history in turn)."""
+    return _in_order(records).mapInArrow(_solve_hidden, HIDDEN)
 
 
 def document_key(c: F.Column) -> F.Column:
@@ -291,6 +337,6 @@ def quantity_records(entities: DataFrame, results: DataFrame, seeds: DataFrame)
         F.lit("extracted_entity").alias("source_table"), F.col("entity_id").alias("row_id"), document_key(F.col("document_name")).alias("source"), F.col("ord").cast("long").alias("position"), "value", F.col("raw_text").alias("context")
     )
     note = F.array_join(F.filter(F.coalesce("notes", F.array().cast("array<string>")), lambda n: F.contains(F.lower(n), F.lit("quantit"))), " \n ")
-    r = results.select(F.lit("extraction_result").alias("source_table"), F.col("result_id").alias("row_id"), document_key(F.col("document_name")).alias("source"), F.lit(-1).cast("long").alias("position"), F.col("extracted_entities.quantity").alias("value"), note.alias("context"))
-    s = seeds.select(F.lit("seed_record").alias("source_table"), F.col("seed_id").alias("row_id"), document_key(F.col("filename")).alias("source"), F.lit(-2).cast("long").alias("position"), F.col("quantity").alias("value"), F.lit(None).cast("string").alias("context"))
+    r = results.select(F.lit("extraction_result").alias("source_table"), F.col("result_id").alias("row_id"), document_key(F.col("document_name")).alias("source"), F.lit(None).cast("long").alias("position"), F.col("extracted_entities.quantity").alias("value"), note.alias("context"))
+    s = seeds.select(F.lit("seed_record").alias("source_table"), F.col("seed_id").alias("row_id"), document_key(F.col("filename")).alias("source"), F.lit(None).cast("long").alias("position"), F.col("quantity").alias("value"), F.lit(None).cast("string").alias("context"))
     return e.unionByName(r).unionByName(s)

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millsheet.operators.nested import page_rows, tagged
-from millsheet.operators.quantities import normalise_quantities, quantity_records
-from millsheet.operators.timestamps import date_records, normalise_timestamps
+from millsheet.operators.quantities import hidden_units, normalise_quantities, quantity_records
+from millsheet.operators.timestamps import date_records, hidden_sites, normalise_timestamps
 from millsheet.session import table
 
 
+def _quantity_records(spark: SparkSession, sf: str) -> DataFrame:
+    return quantity_records(table(spark, sf, "extracted_entity"), table(spark, sf, "extraction_result"), table(spark, sf, "seed_record"))
+
+
 def _quantities(spark: SparkSession, sf: str) -> DataFrame:
-    return normalise_quantities(quantity_records(table(spark, sf, "extracted_entity"), table(spark, sf, "extraction_result"), table(spark, sf, "seed_record")))
+    return normalise_quantities(_quantity_records(spark, sf))
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -24,8 +28,19 @@ def p1_segments(spark: SparkSession, sf: str) -> DataFrame:
     return _quantities(spark, sf)
 
 
+def p1_hidden(spark: SparkSession, sf: str) -> DataFrame:
+    """How many stated units the levels of their histories find when they are hidden, and how many amounts come within 2 % then."""
+    h = hidden_units(_quantity_records(spark, sf))
+    near = F.abs(F.col("found_amount") - F.col("amount")) <= 0.02 * F.abs(F.col("amount"))
+    return h.groupBy("source_table").agg(F.count("*").alias("n"), F.count("found_unit").alias("n_found"), F.count_if(F.col("found_unit") == F.col("base_unit")).alias("n_unit_right"), F.count_if((F.col("found_unit") == F.col("base_unit")) & near).alias("n_amount_right"))
+
+
+def _date_records(spark: SparkSession, sf: str) -> DataFrame:
+    return date_records(table(spark, sf, "extraction_result"), table(spark, sf, "seed_record"))
+
+
 def _dates(spark: SparkSession, sf: str) -> DataFrame:
-    return normalise_timestamps(date_records(table(spark, sf, "extraction_result"), table(spark, sf, "seed_record")))
+    return normalise_timestamps(_date_records(spark, sf))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,8 +48,14 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_formats(spark: SparkSession, sf: str) -> DataFrame:
-    """How often each source table writes dates in each format."""
-    return _dates(spark, sf).groupBy("source_table", "format").agg(F.count("*").alias("n"), F.sum(F.when(F.col("interpretations") > 1, 1).otherwise(0)).alias("n_ambiguous"))
+    """How often each source table writes dates in each format, how many have several readings, and how many the history alone reads as the conventions do."""
+    return _dates(spark, sf).groupBy("source_table", "format").agg(F.count("*").alias("n"), F.count_if(F.col("interpretations") > 1).alias("n_ambiguous"), F.count_if(F.col("utc") == F.col("by_history")).alias("n_by_history"))
+
+
+def p2_hidden(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the days that are valid in either order of day and month: how many the history reads as the site's convention when no site is known."""
+    h = hidden_sites(_date_records(spark, sf))
+    return h.groupBy("source_table").agg(F.count("*").alias("n"), F.count_if(F.col("day") == F.col("by_history")).alias("n_right"))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,5 +67,5 @@ def p3_tags(spark: SparkSession, sf: str) -> DataFrame:
     return tagged(table(spark, sf, "pipeline_run")).groupBy("tag").agg(F.count("*").alias("n"), F.countDistinct("parent").alias("n_parents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_formats, p3_found, p3_tags)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_hidden, p2_found, p2_formats, p2_hidden, p3_found, p3_tags)}
 ORACLE: dict[str, str] = {}

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from millsheet.operators.quantities import changepoints, normalise_quantities, parse, quantity_records, stated_unit
+from millsheet.operators.quantities import BLOCK, changepoints, hidden_units, normalise_quantities, parse, quantity_records, stated_unit
 
 
 @pytest.mark.parametrize(
@@ -52,6 +52,19 @@ def test_changepoints_are_exact():
         assert math.isclose(_cost(y, changepoints(y, penalty), penalty), best, rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_changepoints_with_units_are_exact():
+    rng = random.Random(5)
+    for _ in range(200):
+        y = [rng.choice([0.0, 1.0, 3.0]) + rng.gauss(0, 0.1) for _ in range(rng.randint(1, 9))]
+        units = [rng.choice([None, None, "kg", "g"]) for _ in y]
+        pure = lambda cuts: all(len({u for u in units[a:b] if u}) < 2 for a, b in zip(cuts, [*cuts[1:], len(y)]))  # noqa: E731, B023
+        penalty = rng.choice([0.01, 0.2, 1.0])
+        best = min(_cost(y, [0, *c], penalty) for r in range(len(y)) for c in itertools.combinations(range(1, len(y)), r) if pure([0, *c]))
+        got = changepoints(y, penalty, units)
+        assert pure(got)
+        assert math.isclose(_cost(y, got, penalty), best, rel_tol=1e-9, abs_tol=1e-9)
+
+
 SCHEMA = "source_table string, row_id long, source string, position long, value string, context string, history string"
 
 
@@ -82,3 +95,26 @@ def test_records_of_three_tables(spark):
     assert got["extraction_result", 7] == ("g", 4082, True)
     assert got["extraction_result", 8][2] is False
     assert got["seed_record", 9] == ("pcs", 4, True)
+
+
+def test_one_history_of_a_document(spark):
+    e = spark.createDataFrame([(1, "A", "quantity", "2000", None, 10), (2, "A", "quantity", "2000", None, 11)], "entity_id long, document_name string, field string, value string, raw_text string, ord int")
+    r = spark.createDataFrame([(7, "A.pdf", ("2 kg",), None)], "result_id long, document_name string, extracted_entities struct<quantity: string>, notes array<string>")
+    s = spark.createDataFrame([(9, "A.pdf", "2 kg")], "seed_id long, filename string, quantity string")
+    got = {(x.source_table, x.row_id): (x.base_unit, x.amount, x.stated) for x in normalise_quantities(quantity_records(e, r, s)).collect()}
+    assert got["extracted_entity", 1] == got["extracted_entity", 2] == ("g", 2000, False)
+    assert got["seed_record", 9] == ("g", 2000, True)
+
+
+def test_hidden_units(spark):
+    rows = [("e", i, "d", i, v, None) for i, v in enumerate(["812 kg", "812 kg", "812000 g", "812000 g", "1790.2 lb", "300 °C", "7"])]
+    got = {r.row_id: (r.base_unit, r.amount, r.found_unit, r.found_amount) for r in hidden_units(spark.createDataFrame(rows, SCHEMA.rsplit(",", 1)[0])).collect()}
+    assert set(got) == {0, 1, 2, 3, 4}
+    assert all(g[0] == g[2] == "g" and abs(g[1] - g[3]) <= 0.02 * g[1] for g in got.values())
+
+
+def test_hot_source_without_positions(spark):
+    n = 9 * BLOCK
+    d = spark.range(n).selectExpr("'r' source_table", "id row_id", "'hot' source", "cast(null as long) position", "concat(id + 1, ' kg') value", "cast(null as string) context")
+    got = normalise_quantities(d)
+    assert got.selectExpr("count(*) n", "count_if(amount = (row_id + 1) * 1000) k").first() == (n, n)

@@ -1,8 +1,11 @@
-from datetime import datetime
+import itertools
+import random
+from datetime import datetime, timedelta
 
 import pytest
 
-from millsheet.operators.timestamps import AGAINST_CONVENTION, interpretations, normalise_timestamps, viterbi
+from millsheet.operators import timestamps as T
+from millsheet.operators.timestamps import conventional, hidden_sites, interpretations, normalise_timestamps, viterbi
 
 
 @pytest.mark.parametrize(
@@ -16,21 +19,59 @@ from millsheet.operators.timestamps import AGAINST_CONVENTION, interpretations,
     ],
 )
 def test_readings(value, tz, want):
-    assert [w for w, _, c in interpretations(value, tz) if c < AGAINST_CONVENTION][0] == want
+    assert [w for w, _, _, _, kept in interpretations(value, tz) if kept][0] == want
 
 
 @pytest.mark.parametrize("value", ["", " ", "n.d.", "mars 2024", "2023-13-05", "31/02/2024", "24:71", "N/A", "x" * 50000, "2023-366"])
 def test_no_reading(value):
-    assert not [x for x in interpretations(value, "Europe/Paris") if x[2] < AGAINST_CONVENTION]
+    assert not [x for x in interpretations(value, "Europe/Paris") if x[4]]
 
 
-def test_viterbi_prefers_one_format_and_forward_time():
-    a, b = ("2024-02-01", "dmy", 0.0), ("2024-01-02", "mdy", 0.0)
-    sure = [("2024-01-15", "dmy", 0.0)]
-    assert viterbi([sure, [b, a], [("2024-03-01", "dmy", 0.0)]]) == [0, 1, 0]
+def _cost(records, path):
+    """The least cost of a path with any orders of day and month that its readings allow."""
+    best = float("inf")
+    for orders in itertools.product((T.DAY_FIRST, T.MONTH_FIRST), repeat=len(path)):
+        if any(r[j][2] not in (None, o) for r, j, o in zip(records, path, orders)):
+            continue
+        c = sum(r[j][3] for r, j in zip(records, path))
+        for (r, j, o), (s, k, q) in itertools.pairwise(zip(records, path, orders)):
+            c += T.SWITCH * (o != q) + T.FORMAT * (r[j][1] != s[k][1]) + T.BACKWARD * (s[k][0][:10] < r[j][0][:10])
+        best = min(best, c)
+    return best
+
+
+def test_viterbi_is_exact():
+    rng = random.Random(4)
+    for _ in range(60):
+        records = []
+        for _ in range(rng.randint(1, 6)):
+            day = [f"2024-0{rng.randint(1, 9)}-01" for _ in range(2)]
+            records.append(rng.choice([[(day[0], "ymd", None, 0.0, True)], [(day[0], "dmy", 0, 0.0, True), (day[1], "mdy", 1, T.CONVENTION, False)], [(day[0], "mdy", 1, 0.0, True)]]))
+        best = min(_cost(records, p) for p in itertools.product(*[range(len(r)) for r in records]))
+        assert abs(_cost(records, viterbi(records)) - best) < 1e-9
     assert viterbi([]) == []
 
 
+def test_history_overrules_a_convention_and_the_check_restores_it():
+    sure = lambda d: [(d, "mdy", T.MONTH_FIRST, T.CONVENTION, False)]
+    open_ = [("2024-03-02", "dmy", T.DAY_FIRST, 0.0, True), ("2024-02-03", "mdy", T.MONTH_FIRST, T.CONVENTION, False)]
+    path = viterbi([sure("2024-01-15"), sure("2024-01-20"), open_, sure("2024-02-20"), sure("2024-02-25")])
+    assert path == [0, 0, 1, 0, 0]
+    assert conventional(open_, 1) == 0
+    assert conventional(sure("2024-01-15"), 0) == 0
+
+
+def test_history_alone_finds_the_order(spark):
+    t = datetime(2025, 1, 1)
+    rows = [("s", i, f"{i % 12 + 1:02d}/{v:02d}/2024", "America/Chicago", t + timedelta(minutes=9 * i)) for i, v in enumerate([25, 3, 28, 4, 5, 29, 30, 6] * 10)]
+    d = spark.createDataFrame(rows, "source_table string, row_id long, value string, site_tz string, recorded_at timestamp")
+    got = hidden_sites(d).collect()
+    # in either order a day, and another one in each
+    assert {r.row_id for r in got} == {i for i, r in enumerate(rows) if int(r[2][3:5]) < 13 and r[2][:2] != r[2][3:5]}
+    assert all(r.day == r.by_history for r in got)
+    assert {r.row_id for r in normalise_timestamps(d).collect()} == set(range(80))
+
+
 def test_table(spark):
     schema = "source_table string, row_id long, value string, site_tz string, recorded_at timestamp, history string"
     t = datetime(2025, 1, 1)
