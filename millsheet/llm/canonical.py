@@ -78,19 +78,26 @@ def edits(a: str, b: str, most: int) -> int:
     """Edits between two words, exchanges of neighbours counting one; ``most + 1`` if there are more."""
     if abs(len(a) - len(b)) > most:
         return most + 1
+    if a == b:
+        return 0
+    far = most + 1
     before: list[int] = []
-    row = list(range(len(b) + 1))
+    row = [j if j <= most else far for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
+        new = [far] * (len(b) + 1)
+        low = new[0] = i if i <= most else far
+        # further from the diagonal there are too many edits
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            y = b[j - 1]
+            d = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, before[j - 2] + 1)
-            new.append(d)
-        if min(new) > most:
-            return most + 1
+            new[j] = d
+            low = min(low, d)
+        if low > most:
+            return far
         before, row = row, new
-    return min(row[-1], most + 1)
+    return min(row[-1], far)
 
 
 class Reference:
