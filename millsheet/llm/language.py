@@ -1,15 +1,16 @@
 """Languages of documents and of their stretches, by a string kernel.
 
 The kernel of two texts is the share of the character n-grams (orders 1 to 3 together) that are present in both. A bounded
-sample of labelled documents, drawn by language from all rows, gives the landmarks of a Nyström map and the training sentences; one-versus-rest kernel
-ridge regression on that map is fitted again without the training sentences the last fit contradicts, as labels may be
-wrong. A text is scored in batches by products of its presence matrix with the weights, into which the
-landmarks are folded (presence x landmarks x coefficients is one matrix of n-grams by languages). Sentences are scored
-one by one; a Viterbi pass over the sentences of a text, which charges each change of language, gives its stretches.
+sample of labelled documents, drawn by language from all rows, and two fixed sentences of each language give the landmarks
+of a Nyström map and the training sentences of one-versus-rest kernel ridge regression. As labels may be wrong, models of
+other documents judge each sentence's label first (cross-fitting on one map). A text is scored in batches by products of
+its presence matrix with the weights, into which the landmarks are folded (presence x landmarks x coefficients is one
+matrix of n-grams by languages). Sentences are scored one by one; a Viterbi pass over the sentences of a text, which
+charges each change of language, gives its stretches.
 
 Cases: null, empty and blank texts, and texts without words of a language (numbers, labels, codes), have no row; label
 lines and short units count with the text around them; labels are read in all usual spellings, others count as missing;
-rows repeated under one id count once; a language without any labelled text can't be recognised.
+rows repeated under one id count once; without any label the fixed sentences alone are the training set.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ LANGS = ("en", "fr", "de", "es", "it", "pt", "nl", "zh", "ja", "th", "hi", "ar")
 TRAIN_DOCUMENTS, TRAIN_SENTENCES, LANDMARKS = 6000, 1000, 40
 #: Pieces of a document to train on, at most (its first), so that a few long documents don't make up a language.
 TRAIN_PIECES = 12
-ORDERS, SPACE, RIDGE = (1, 2, 3), 1 << 16, 0.01
-#: Fits without the training pieces that the last fit contradicts.
-ROUNDS = 2
+ORDERS, SPACE, RIDGE = (1, 2, 3), 1 << 16, 0.1
+#: Folds and rounds in which labels are judged; by how much a language must lead to replace a label.
+FOLDS, ROUNDS, SURE = 4, 2, 0.3
 #: Cost of a change of language between two sentences, in units of the scores (which lie between about 0 and 1).
 CHANGE = 0.3
 #: Letters that a unit must have to speak for a language.
@@ -62,6 +63,21 @@ def label_code(label: str | None) -> str | None:
     return _LABELS.get(s) or _LABELS.get(re.split(r"[-_\s(/]", s)[0])
 
 
+#: Two sentences of each language to start from (the first article of the Universal Declaration of Human Rights): fixed values.
+FIRST = {
+    "en": ["All human beings are born free and equal in dignity and rights.", "They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood."],
+    "fr": ["Tous les êtres humains naissent libres et égaux en dignité et en droits.", "Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité."],
+    "de": ["Alle Menschen sind frei und gleich an Würde und Rechten geboren.", "Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen."],
+    "es": ["Todos los seres humanos nacen libres e iguales en dignidad y derechos.", "Dotados como están de razón y conciencia, deben comportarse fraternalmente los unos con los otros."],
+    "it": ["Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti.", "Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza."],
+    "pt": ["Todos os seres humanos nascem livres e iguais em dignidade e em direitos.", "Dotados de razão e de consciência, devem agir uns para com os outros em espírito de fraternidade."],
+    "nl": ["Alle mensen worden vrij en gelijk in waardigheid en rechten geboren.", "Zij zijn begiftigd met verstand en geweten, en behoren zich jegens elkander in een geest van broederschap te gedragen."],
+    "zh": ["人人生而自由，在尊严和权利上一律平等。", "他们赋有理性和良心，并应以兄弟关系的精神相对待。"],
+    "ja": ["すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。", "人間は、理性と良心とを授けられており、互いに同胞の精神をもって行動しなければならない。"],
+    "th": ["มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกันในเกียรติศักดิ์และสิทธิ", "ต่างมีเหตุผลและมโนธรรม และควรปฏิบัติต่อกันด้วยเจตนารมณ์แห่งภราดรภาพ"],
+    "hi": ["सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है।", "उन्हें बुद्धि और अन्तरात्मा की देन प्राप्त है और परस्पर उन्हें भाईचारे के भाव से बर्ताव करना चाहिए।"],
+    "ar": ["يولد جميع الناس أحراراً متساوين في الكرامة والحقوق.", "وقد وهبوا عقلاً وضميراً وعليهم أن يعاملوا بعضهم بعضاً بروح الإخاء."],
+}
 #: Scripts whose letters say more than those of an alphabet.
 _DENSE = re.compile("[\u2e80-\u9fff\uf900-\ufaff]")
 _SCRIPT = re.compile("[\u0600-\u06ff\u0900-\u0d7f\u0e00-\u0e7f\u2e80-\u9fff\uac00-\ud7a3\uf900-\ufaff]")
@@ -200,51 +216,60 @@ class Model:
         return np.concatenate([products(texts[a : a + batch], self.weights) for a in range(0, len(texts), batch)]) if texts else np.zeros((0, len(LANGS)), np.float32)
 
 
-def _ridge(texts: list[str], y: np.ndarray) -> Model:
-    """One-versus-rest kernel ridge regression on the Nyström map of landmarks."""
-    marks = [i for k in range(len(LANGS)) for i in np.flatnonzero(y == k)[:LANDMARKS]]
-    land = np.zeros((SPACE, len(marks)), np.float32)
-    who, g, norm = grams([texts[i] for i in marks])
-    land[g, who] = norm[who]
-    knm = np.concatenate([products(texts[a : a + 500], land) for a in range(0, len(texts), 500)]).astype(np.float64)
-    kmm = products([texts[i] for i in marks], land).astype(np.float64)
+def _solve(knm: np.ndarray, kmm: np.ndarray, y: np.ndarray, weighted: bool) -> np.ndarray:
+    """Coefficients of one-versus-rest kernel ridge regression on the Nyström map; ``weighted``: classes count alike, however often they occur."""
     target = (y[:, None] == np.arange(len(LANGS))).astype(np.float64)
-    # classes count alike, however often they occur
-    w = 1 / np.maximum(np.bincount(y, minlength=len(LANGS)), 1)[y]
+    w = 1 / np.maximum(np.bincount(y, minlength=len(LANGS)), 1)[y] if weighted else np.ones(len(y))
     w *= len(y) / w.sum()
-    left = (knm * w[:, None]).T @ knm + RIDGE * len(y) / len(marks) * (kmm + 1e-6 * np.eye(len(marks)))
-    alpha = np.linalg.solve(left, (knm * w[:, None]).T @ target)
-    return Model((land @ alpha.astype(np.float32)).astype(np.float32))
+    left = (knm * w[:, None]).T @ knm + RIDGE * len(y) / len(kmm) * (kmm + 1e-6 * np.eye(len(kmm)))
+    return np.linalg.solve(left, (knm * w[:, None]).T @ target)
 
 
 def train(labelled: list[tuple[str, str]]) -> Model:
-    """The model from (text, language) of labelled documents, whose labels may be wrong."""
-    by: dict[str, list[str]] = {k: [] for k in LANGS}
+    """The model from (text, language) of labelled documents, whose labels may be wrong.
+
+    A piece's label is judged by models of the documents of other folds, in which every piece counts alike, so that the
+    wrong labels of a rare language weigh no more than any others: what they contradict gets the language they are sure
+    of, or is left out.
+    """
+    texts = [plain(t) for k in LANGS for t in FIRST[k]]
+    y = [i for i, k in enumerate(LANGS) for _ in FIRST[k]]
+    fold = [-1] * len(texts)  # of no fold: in every model
+    given = len(texts)
+    count = dict.fromkeys(LANGS, 0)
     # in the order of a hash: any other order may put texts of one kind, such as wrongly labelled ones, first
-    for text, lang in sorted(labelled, key=lambda x: (xxhash.xxh64_intdigest(x[0]), x[1])):
-        if len(by[lang]) >= TRAIN_SENTENCES:
-            continue
-        by[lang] += [p for _, u in pieces(text)[:TRAIN_PIECES] if len(p := plain(u)) > (6 if _DENSE.search(p) else 15)]
-    texts = [t for k in LANGS for t in by[k][:TRAIN_SENTENCES]]
-    y = np.array([i for i, k in enumerate(LANGS) for _ in by[k][:TRAIN_SENTENCES]], int)
-    if not texts:
-        return Model(np.zeros((SPACE, len(LANGS)), np.float32))
-    model = _ridge(texts, y)
+    for h, text, lang in sorted((xxhash.xxh64_intdigest(t), t, k) for t, k in labelled):
+        own = [p for _, u in pieces(text)[:TRAIN_PIECES] if len(p := plain(u)) > (6 if _DENSE.search(p) else 15)] if count[lang] < TRAIN_SENTENCES else []
+        count[lang] += len(own)
+        texts += own
+        y += [LANGS.index(lang)] * len(own)
+        fold += [h % FOLDS] * len(own)
+    y, fold = np.array(y), np.array(fold)
+    marks = sorted({*range(given), *(i for k in range(len(LANGS)) for i in given + np.flatnonzero(y[given:] == k)[:LANDMARKS])})
+    land = np.zeros((SPACE, len(marks)), np.float32)
+    who, g, norm = grams([texts[i] for i in marks])
+    land[g, who] = norm[who]
+    knm = np.concatenate([products(texts[a : a + 500], land) for a in range(0, len(texts), 500)]).astype(np.float64)
+    kmm = knm[marks]
+    label, keep = y.copy(), np.ones(len(y), bool)
     for _ in range(ROUNDS):
-        keep = np.flatnonzero(model.scores(texts).argmax(1) == y)
-        if not len(keep):
-            break
-        model = _ridge([texts[i] for i in keep], y[keep])
-    return model
+        for f in range(FOLDS):
+            held, rest = fold == f, (fold != f) & keep
+            s = knm[held] @ _solve(knm[rest], kmm, label[rest], False)
+            top = s.argmax(1)
+            margin = np.diff(np.partition(s, -2, 1)[:, -2:])[:, 0] if len(s) else np.zeros(0)
+            label[held] = np.where(margin > SURE, top, y[held])
+            keep[held] = (top == label[held]) | (margin > SURE)
+    alpha = _solve(knm[keep], kmm, label[keep], True)
+    return Model((land @ alpha.astype(np.float32)).astype(np.float32))
 
 
 def fit(documents: DataFrame, label: str = "lang") -> Model:
     """The model, trained on the documents (text, label) of each known label whose texts have the smallest hashes, a bounded number."""
     per = TRAIN_DOCUMENTS // len(LANGS)
-    known = F.udf(label_code)(F.col(label))
     rows = documents.where(F.col("text").isNotNull() & F.col(label).isNotNull()).withColumn("h", F.xxhash64("text"))
     # hashes alone are ranked, a bounded number of each label and part is shuffled
-    ranked = rows.select(known.alias("code"), "h").where("code is not null").distinct().withColumn("k", F.row_number().over(Window.partitionBy("code").orderBy("h")))
+    ranked = rows.select(_codes(label).alias("code"), "h").where("code is not null").distinct().withColumn("k", F.row_number().over(Window.partitionBy("code").orderBy("h")))
     sample = rows.select("text", "h").join(F.broadcast(ranked.where(F.col("k") <= per).select("code", "h")), "h")
     return train(sorted((r[0], r[1]) for r in sample.select("text", "code").distinct().collect()))
 
@@ -339,9 +364,9 @@ def read_languages(texts: DataFrame, model: Model) -> DataFrame:
 
 
 def _codes(column: str):  # noqa: ANN202
-    """Expression of ``label_code``, evaluated in the JVM."""
+    """Expression of ``label_code``, evaluated in the JVM; composed and decomposed letters are both known."""
     s = F.lower(F.trim(F.col(column)))
-    known = F.create_map(*[x for n, c in sorted(_LABELS.items()) for x in (F.lit(n), F.lit(c))])
+    known = F.create_map(*[F.lit(x) for n, c in sorted({(unicodedata.normalize(f, n), c) for n, c in _LABELS.items() for f in ("NFC", "NFD")}) for x in (n, c)])
     return F.coalesce(F.try_element_at(known, s), F.try_element_at(known, F.element_at(F.split(s, "[-_\\s(/]"), 1)))
 
 

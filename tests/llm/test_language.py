@@ -60,6 +60,20 @@ def test_wrong_labels_of_one_script_that_sort_first():
     assert [x[2] for x in r.read(["".join(TEXTS["ja"])])[0]] == ["ja"]
 
 
+def test_wrong_labels_of_a_rare_language():
+    labelled = [(" ".join(ts[i % 3 : i % 3 + 2]) + f" {k}{i}", k) for k, ts in TEXTS.items() for i in range(6 if k == "th" else 60)]
+    labelled += [(" ".join(TEXTS["fr"][:3]), "th"), (" ".join(TEXTS["fr"][1:]), "th"), (" ".join(TEXTS["th"][:2]), "fr")]
+    r = G.Reader(G.train(labelled))
+    for k, ts in TEXTS.items():
+        for t in ts:
+            assert [x[2] for x in r.read([t])[0]] == [k], t
+
+
+def test_without_labels_the_fixed_sentences_decide():
+    r = G.Reader(G.train([]))
+    assert [[x[2] for x in r.read([" ".join(ts)])[0]] for k, ts in TEXTS.items() if k in ("ja", "th", "de")] == [["de"], ["ja"], ["th"]]
+
+
 def test_stretches_and_texts_without_words():
     r = G.Reader(G.train(_labelled()))
     mixed = "Supplier : ACME Ltd\n\n" + " ".join(TEXTS["fr"]) + "\n\n" + " ".join(TEXTS["de"]) + "\n\n" + " ".join(TEXTS["th"]) + "\n\n" + "".join(TEXTS["ja"])
