@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import pytest
 
 from millsheet.llm.sentences import Tagger, split_sentences, train
@@ -14,34 +17,49 @@ CASES = [
 ]
 
 
+#: Sentences in scripts without blanks.
+DENSE = [["检验员写道：“到达停止点。不得继续。”随后在NC-65485上签字。", "如果接管移动，请立即停止工作！", "为什么接管放行了？"], ["検査員は「停止。続けないこと。」とFC-1に書いた。", "肉厚は3.6ミリである。", "なぜ出荷されたのか？"]]
+GLUED = ["The parts are shipped.", "The plate is 3.6 mm.", "Stop the work!"]
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    """Trained on texts whose sentences aren't marked: paragraphs of one to four sentences."""
+    rng = random.Random(7)
+    texts = []
+    for k in range(900):
+        of = (CASES + DENSE + [GLUED])[k % (len(CASES) + 3)]
+        gap = "" if of in DENSE or rng.random() < 0.03 else " "
+        texts.append("\n\n".join(gap.join(rng.choices(of, k=rng.randint(1, 4))) for _ in range(3)))
+    return train(texts)
+
+
 @pytest.mark.parametrize("sentences", CASES)
-def test_languages_and_layouts(sentences):
+def test_languages_and_layouts(tagger, sentences):
     for gap in (" ", "  ", "\n", "\n\n", "\n \n\n"):
         text = gap.join(sentences)
-        assert [text[a:b] for a, b in Tagger().units(text)] == sentences
+        assert [text[a:b] for a, b in tagger.units(text)] == sentences
     wrapped = " ".join(sentences).replace(" ", "\n", 3)
-    assert [wrapped[a:b].replace("\n", " ") for a, b in Tagger().units(wrapped)] == sentences
+    assert [wrapped[a:b].replace("\n", " ") for a, b in tagger.units(wrapped)] == sentences
 
 
-def test_scripts_without_blanks_and_glued_sentences():
+def test_scripts_without_blanks_and_glued_sentences(tagger):
     text = "检验员写道：“到达停止点。不得继续。”随后在NC-65485上签字。如果接管移动，请立即停止工作！検査員は「停止。続けないこと。」とFC-1に書いた。"
-    assert [text[a:b] for a, b in Tagger().units(text)] == ["检验员写道：“到达停止点。不得继续。”随后在NC-65485上签字。", "如果接管移动，请立即停止工作！", "検査員は「停止。続けないこと。」とFC-1に書いた。"]
+    assert [text[a:b] for a, b in tagger.units(text)] == ["检验员写道：“到达停止点。不得继续。”随后在NC-65485上签字。", "如果接管移动，请立即停止工作！", "検査員は「停止。続けないこと。」とFC-1に書いた。"]
     text = "The parts are shipped.The plate is 3.6 mm.Stop the work!"
-    assert [text[a:b] for a, b in Tagger().units(text)] == ["The parts are shipped.", "The plate is 3.6 mm.", "Stop the work!"]
+    assert [text[a:b] for a, b in tagger.units(text)] == ["The parts are shipped.", "The plate is 3.6 mm.", "Stop the work!"]
 
 
-def test_labels_and_numbers():
+def test_labels_and_numbers(tagger):
     text = "Order no. = PRJ-1\nSupplier : A. B. Inc.\n\n48207 / 36905\n\nThe inspector wrote: \"Go.\" on\nsheet 7\n\n"
-    assert [text[a:b] for a, b in Tagger().units(text)] == ["Order no. = PRJ-1", "Supplier : A. B. Inc.", "48207 / 36905", 'The inspector wrote: "Go." on\nsheet 7']
-    assert Tagger().units("") == Tagger().units(" \n\n ") == []
+    assert [text[a:b] for a, b in tagger.units(text)] == ["Order no. = PRJ-1", "Supplier : A. B. Inc.", "48207 / 36905", 'The inspector wrote: "Go." on\nsheet 7']
+    assert tagger.units("") == tagger.units(" \n\n ") == []
 
 
 THAI = ["ไม่พบรอยแตกบนหน้าแปลน", "ผู้ตรวจสอบลงนามในใบ PV-1419 แล้วส่งคืนให้ผู้ผลิต", "อุณหภูมิอยู่ที่ 15879 °C ซึ่งสูงกว่าค่าต่ำสุด", "หน้าแปลนส่งมอบพร้อมความหนา 28.7 มม.", "รายการที่ 21 รวมวัสดุ 84054 กก."]
 
 
 def test_trained_on_text_without_punctuation():
-    import random
-
     rng = random.Random(1)
     corpus = ["\n\n".join(" ".join(rng.choices(THAI, k=rng.randint(1, 3))) for _ in range(4)) for _ in range(60)]
     tagger = train(corpus)
@@ -53,12 +71,30 @@ def test_trained_on_text_without_punctuation():
 
 def test_viterbi_forbids_empty_sentences():
     t = Tagger()
-    assert t.decode([3.0, 3.0], [True, False]) == [True, False]
-    assert t.decode([3.0, 3.0], [True, True]) == [True, True]
-    assert t.decode([-1.0], [True]) == [False]
+    assert t.decode([3.0, 3.0], [3, 0]) == [True, False]
+    assert t.decode([3.0, 3.0], [3, 3]) == [True, True]
+    assert t.decode([-1.0], [3]) == [False]
     assert t.decode([], []) == []
 
 
+def test_viterbi_is_exact():
+    rng = random.Random(8)
+    for _ in range(100):
+        n = rng.randint(1, 8)
+        scores, sizes = [rng.uniform(-3, 3) for _ in range(n)], [rng.randrange(4) for _ in range(n)]
+        t = Tagger(None, [rng.uniform(-4, 1) for _ in range(4)])
+        value = lambda tags: sum(e + (t.transitions[d] if i and tags[i - 1] else 0.0) for i, (e, d, on) in enumerate(zip(scores, sizes, tags)) if on)  # noqa: E731, B023
+        assert abs(value(t.decode(scores, sizes)) - max(map(value, itertools.product((False, True), repeat=n)))) < 1e-9
+
+
+def test_abbreviations_are_learned(tagger):
+    """A word that no list has and that never ends a paragraph is none that ends a sentence."""
+    rng = random.Random(9)
+    texts = ["\n\n".join(" ".join(rng.choice(["Der Stutzen nach Zkf. Weber ist neu.", "Laut Zkf. Nord gilt das.", "Die Naht ist dicht.", "Es wurde geprüft."]) for _ in range(rng.randint(1, 3))) for _ in range(3)) for _ in range(150)]
+    text = "Die Naht ist dicht. Laut Zkf. Nord gilt das. Es wurde geprüft."
+    assert [text[a:b] for a, b in train(texts).units(text)] == ["Die Naht ist dicht.", "Laut Zkf. Nord gilt das.", "Es wurde geprüft."]
+
+
 def test_table(spark):
     rows = [(1, "Ab cd. Ef gh.", "c"), (2, None, None), (3, "", None), (None, "x.", None), (4, "Wort und Zahl. " * 20000, None), (5, "😀 Ab cd. Ef.", None)]
     d = spark.createDataFrame(rows, "doc_id long, text string, sent_no string")
