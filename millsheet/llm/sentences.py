@@ -37,11 +37,13 @@ from pyspark.sql import functions as F
 #: Texts that the model is trained on, at most: with final punctuation, and in scripts without.
 TRAIN_DOCUMENTS = 2000
 #: Rounds of decoding and fitting.
-ROUNDS = 4
+ROUNDS = 3
 #: By how much the first guess favours boundaries.
 MARGIN = 1.0
+#: How much less usual than others a word may be at the ends of paragraphs that still ends sentences whatever follows (log odds).
+PLAIN = -1.2
 #: Steps of a fit; precision of the weights' prior, which keeps rare features small, in later fits and in those of the first guess.
-STEPS, DECAY, FIRST_DECAY = 150, 0.5, 1.0
+STEPS, DECAY, FIRST_DECAY = 100, 0.5, 1.0
 
 #: Abbreviations that a sentence mostly goes on after: titles, references, numbers, examples (without points, lower case). A list is one feature among others.
 INNER = frozenset(
@@ -66,9 +68,11 @@ _NUMBERS = re.compile(r"[\s\d./,;|+–—-]*\d[\s\d./,;|+–—-]*$")
 _QUOTE = re.compile(r"«[^«»]*»|„[^„“”]*[“”]|“[^“”]*”|「[^「」]*」|『[^『』]*』|(?<![^\s(\[:,])\"(?=\S)[^\"]*\"|(?<![^\s(\[:,])['‘](?=[^\W\d_])[^'’]*(?:[’'](?=[^\W\d_])[^'’]*)*[.!?]['’](?!\w)")
 _THAI = "฀-๿຀-໿ក-៿က-႟"
 _IS_THAI = re.compile(f"[{_THAI}]")
-_CANDIDATE = re.compile(rf"[{re.escape(_FINAL)}]+(?:[^\S\n]?»|[{re.escape(_CLOSE)}])*|(?<=\S)\s+(?=\S)")
-_MARK = re.compile(rf"[{re.escape(_FINAL)}]+(?:[^\S\n]?»|[{re.escape(_CLOSE)}])*")
-_MARK_GAP = re.compile(rf"([{re.escape(_FINAL)}]+(?:[^\S\n]?»|[{re.escape(_CLOSE)}])*)(\s*)")
+# a point between digits is part of a number
+_MARKS = rf"[{re.escape(_FINAL)}](?<!\d\.(?=\d))[{re.escape(_FINAL)}]*(?:[^\S\n]?»|[{re.escape(_CLOSE)}])*"
+_CANDIDATE = re.compile(rf"{_MARKS}|(?<=\S)\s+(?=\S)")
+_MARK = re.compile(_MARKS)
+_MARK_GAP = re.compile(rf"({_MARKS})(\s*)")
 _CJK = re.compile(r"[぀-ヿ㐀-䶿一-鿿豈-﫿]")
 _HAS_QUOTE = re.compile("[«„“「『\"'‘]")
 _LATIN_START = re.compile(r"[¿¡«„“\"(]?\s?[A-ZÀ-ÖØ-Þ](?:['’][A-Za-zÀ-ÿ]|[a-zà-öø-ÿ]+)[\w'’-]*[\s,]+(?:[a-zà-öø-ÿ]|[A-ZÀ-Þ][a-zà-öø-ÿ])")
@@ -145,9 +149,10 @@ def features(key: tuple[str, str, str, str]) -> list[str]:
     left, marks, gap, right = key
     a, z = before(left), after(right)
     bare = marks.rstrip(_CLOSE + " ")
-    m = ("." if bare == "." else ".." if set(bare) == {"."} else bare[:1]) + ("»" if len(bare) < len(marks) else "")
-    g = "0" if not gap else "1"
-    return ["", *a, f"m{m}", *z, f"g{g}{z[0]}", f"{a[0]}|{z[0]}|{g}", f"{a[0]}|{g}", f"m{m}|{g}|{z[0]}", f"m{m}|{a[0]}", *(f"{x}|{g}|{z[0][:2]}" for x in a[1:] if x[0] in "wk")]
+    m = "." if bare == "." else ".." if set(bare) == {"."} else bare[:1]
+    # after a quotation other things follow
+    g = ("»" if len(bare) < len(marks) else "") + ("1" if gap else "0")
+    return ["", *a, f"m{m}{g[:-1]}", *z, f"g{g}{z[0]}", f"{a[0]}|{z[0]}|{g}", f"{a[0]}|{g}", f"m{m}|{g}|{z[0]}", f"m{m}|{a[0]}", *(f"{x}|{g}|{z[0][:2]}" for x in a[1:] if x[0] in "wk")]
 
 
 def _sure_inside(key: tuple[str, str, str, str], begins: frozenset[str]) -> bool:
@@ -441,17 +446,18 @@ def train_marks(texts: list[str]) -> tuple[dict[str, float], list[float]]:
     n = np.array([keys[k] for k in keys], float)
     inside = np.array([_sure_inside(k, begins) for k in keys])
     # first guess: what is as usual at the ends (beginnings) of paragraphs as at marks is one of sentences
-    first = np.zeros(len(keys))
-    # the points of decimals tell nothing of what stands before ends
-    n_left = n * [bool(k[2]) or not k[3][0].isdigit() for k in keys]
-    for known, of, m in ((ends, lambda k: [f for f in rows[k] if "|" not in f and f[:1] not in "Rryxqg12"], n_left), (starts, lambda k: after(k[3]), n)):
+    guesses = []
+    for known, of in ((ends, lambda k: [f for f in rows[k] if "|" not in f and f[:1] not in "Rryxqg12"]), (starts, lambda k: after(k[3]))):
         model = _Fit()
         x = known + [of(k) for k in keys]
-        w = model.fit(x, np.r_[np.ones(len(known)), np.zeros(len(keys))], np.r_[np.ones(len(known)), m], FIRST_DECAY)
+        w = model.fit(x, np.r_[np.ones(len(known)), np.zeros(len(keys))], np.r_[np.ones(len(known)), n], FIRST_DECAY)
         at, f = model.rows([of(k) for k in keys])
-        first += np.bincount(at, w[f], len(keys)) - math.log((len(known) + 1) / (m[~inside].sum() + 1))
+        guesses.append(np.bincount(at, w[f], len(keys)) - math.log((len(known) + 1) / (n[~inside].sum() + 1)))
+    left, right = guesses
+    # after a word that is as usual at ends as any other, a mark before a blank is an end even if a small letter follows
+    plain_word = (left > PLAIN) & [bool(k[2]) and k[1][-1] in _FINAL for k in keys] & (inside & [k[3][0].isalpha() for k in keys] | [k[1][0] != "." for k in keys])
     tagger = Tagger()
-    tagger.memo = dict(zip(keys, np.where(inside, np.minimum(first, 0.0) - 4.0, first + MARGIN).tolist()))
+    tagger.memo = dict(zip(keys, np.where(plain_word, np.maximum(left + right + MARGIN, MARGIN), np.where(inside, np.minimum(left + right, 0.0) - 4.0, left + right + MARGIN)).tolist()))
     weights: dict[str, float] = {}
     jump = tagger.transitions
     for _ in range(ROUNDS):
@@ -540,13 +546,12 @@ def train(texts: list[str]) -> Tagger:
 def fit(documents: DataFrame) -> Tagger:
     """A tagger trained on the texts with the smallest hashes, a bounded number of each kind."""
     n = documents.count()
-    rows = documents.where("text is not null").select("text", F.xxhash64("text").alias("h"), F.col("text").rlike(f"[{_THAI}]").alias("unmarked"))
-    sample: list[str] = []
-    for unmarked, share in ((False, 2), (True, 20)):
-        # about so many times the wanted number are looked at; their hashes choose among them
-        part = rows.where(F.col("unmarked") == unmarked).where(F.pmod("h", F.lit(1 << 40)) < int(min(1.0, share * TRAIN_DOCUMENTS / max(1, n)) * (1 << 40)))
-        sample += [r[0] for r in part.orderBy("h").limit(TRAIN_DOCUMENTS).select("text").collect()]
-    return train(sorted(set(sample)))
+    # about so many times the wanted number are looked at, in one pass; their hashes choose among them
+    share = lambda times: int(min(1.0, times * TRAIN_DOCUMENTS / max(1, n)) * (1 << 40))
+    unmarked = F.col("text").rlike(f"[{_THAI}]")
+    near = documents.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < F.when(unmarked, share(20)).otherwise(share(2)))
+    rows = sorted({(r.h, r.text, r.unmarked) for r in near.select(F.xxhash64("text").alias("h"), "text", unmarked.alias("unmarked")).limit(24 * TRAIN_DOCUMENTS).collect()})
+    return train(sorted(r[1] for kind in (False, True) for r in [r for r in rows if r[2] == kind][:TRAIN_DOCUMENTS]))
 
 
 def split_sentences(documents: DataFrame) -> DataFrame:
