@@ -2,11 +2,12 @@
 
 Distinct values are cut into tokens. Each distinct token is repaired: an equi-join on shared deletion variants brings it
 together with every vocabulary word of the reference list that may be within its edit distance, the distance decides.
-The repaired tokens of a value then rank the complete entries by soft TF-IDF (weight of the word in the entry times
-similarity of token and word, over the lengths of both), in which the entry's codes (grade, number, designation) are
-words as well, read through the usual misreadings of digits. An exact check follows: the entry's code must be the first
-code of the value, so that a grade the list lacks doesn't give a neighbouring grade, and a short or bare code needs the
-entry's family beside it.
+The repaired tokens of a value then rank all entries that share a word or a code with it by soft TF-IDF (weight of the word
+in the entry times similarity of token and word, over the lengths of both); the entries' codes (grade, number,
+designation) are words as well, read through the usual misreadings of digits and the weightier the longer and the further
+in front they stand. An exact check follows and takes the first entry of that ranking that passes it: the entry's code
+must be the longest and first of the value, so that a grade the list lacks doesn't give a neighbouring grade, and a short
+or bare code needs the entry's family beside it.
 
 Cases: null and blank values have no row; a value that names no entry, or a name without a code, has ``NONE``; of entries
 with equal score the one of lower identifier counts; rows repeated under one id count once; very long values are read
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ENTRIES = 50_000
-#: A code of a value with many rows is looked up once, but its rows are spread over this many parts.
-SALTS = 16
+#: A value with more rows than this is looked up once, but its rows are spread over several parts.
+HOT_ROWS = 200_000
 
 #: Words that mean a family of materials: fixed values of common trade usage.
 FAMILY_WORDS = {
@@ -133,8 +134,8 @@ class Reference:
         self.longest = max([1, *map(len, self.codes)])
         self.beginnings = {k[:i] for k in self.codes for i in range(1, len(k) + 1)}
 
-    def rank(self, value: str, repairs: dict[str, list[tuple[str, float]]]) -> tuple[str, float]:
-        """(identifier or NONE, score) of the entry that ``value`` names."""
+    def rank(self, value: str, repairs: dict[str, list[tuple[str, float]]]) -> tuple[str, float, str]:
+        """(identifier or NONE, score) of the entry that ``value`` names, and the identifier that is ranked first."""
         found = spans(value)
         toks = [t for t, _ in found]
         scores: dict[str, float] = {}
@@ -175,17 +176,19 @@ class Reference:
                     strong = len(k) > 3 and (not k.isdigit() or parts > 1) and (re.search(r"\d", gram) is not None)
                     if strong or ref in scores or bare and len(k) > 2:
                         hits.append((-len(k), start, ref, strong))
+        # all entries that share a word or a code, by soft TF-IDF
+        code: dict[str, float] = {}
+        for size, start, ref, strong in hits:
+            x = self.code_weight * (1.0 if strong else 0.8) * (1 - size / (1 + self.longest)) / (1 + 0.1 * start)
+            code[ref] = max(code.get(ref, 0.0), x)
+        ranking = sorted((-(scores.get(ref, 0.0) * self.norm.get(ref, 1.0) + code.get(ref, 0.0)) / math.sqrt(length + self.code_weight**2), ref) for ref in {*scores, *code})
         if not hits:
-            return "NONE", 0.0
-        hits.sort()
-        top: tuple[float, str] = (-1.0, "")
-        for size, start, ref, _ in hits:
-            if (size, start) != hits[0][:2]:
-                break
-            s = (scores.get(ref, 0.0) * self.norm.get(ref, 1.0) + self.code_weight) / math.sqrt(length + self.code_weight**2)
-            if s > top[0]:
-                top = (s, ref)
-        return top[1], top[0]
+            return "NONE", 0.0, ranking[0][1] if ranking else "NONE"
+        # the check: the longest code, at its first place
+        best = min(hits)[:2]
+        named = {ref for size, start, ref, _ in hits if (size, start) == best}
+        score, ref = next(x for x in ranking if x[1] in named)
+        return ref, -score, ranking[0][1]
 
 
 def _reference(reference: DataFrame) -> Reference:
@@ -209,7 +212,7 @@ def repair(tokens: DataFrame, vocabulary: list[str]) -> DataFrame:
     spark = tokens.sparkSession
     words = sorted((w, v) for w in set(vocabulary) for v in deletions(w, allowed(len(w))) | {w[:i] + "." for i in range(2, len(w))})
     vocab = spark.createDataFrame(words or [("", "")], "word string, variant string")
-    near = tokens.mapInArrow(_variants("token"), "token string, variant string").join(F.broadcast(vocab), "variant").select("token", "word").distinct()
+    near = tokens.mapInArrow(_variants("token"), "token string, variant string").join(vocab, "variant").select("token", "word").distinct()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -233,7 +236,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def match_values(values: DataFrame, reference: DataFrame) -> DataFrame:
-    """``value``, ``ref_id`` (or NONE) and ``score`` of every distinct non-blank value."""
+    """``value``, ``ref_id`` (or NONE), ``score`` and ``ranked_first`` (before the check) of every distinct non-blank value."""
     ref = _reference(reference)
     distinct = values.where("value is not null and trim(value) <> ''").select("value").distinct()
     typed = distinct.mapInArrow(_tokens, "value string, token string")
@@ -248,16 +251,20 @@ def match_values(values: DataFrame, reference: DataFrame) -> DataFrame:
                 for r in rs or ():
                     known.setdefault(r["token"], []).append((r["word"], r["sim"]))
                 out.append((v, *ref.rank(v, known)))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.float64())], names=["value", "ref_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.string())], names=["value", "ref_id", "score", "ranked_first"])
 
-    return distinct.join(by_value, "value", "left").mapInArrow(rank, "value string, ref_id string, score double")
+    return distinct.join(by_value, "value", "left").mapInArrow(rank, "value string, ref_id string, score double, ranked_first string")
 
 
 def map_rows(rows: DataFrame, reference: DataFrame) -> DataFrame:
-    """``source_table``, ``row_id``, ``ref_id``, ``score`` of the rows (source_table, row_id, value) with a value."""
-    some = rows.where("value is not null and trim(value) <> ''").select("source_table", "row_id", "value", F.pmod(F.xxhash64("source_table", "row_id"), F.lit(SALTS)).alias("salt"))
-    found = match_values(some, reference).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return some.join(found, ["value", "salt"]).groupBy("value", "salt", "source_table", "row_id").agg(F.first("ref_id").alias("ref_id"), F.first("score").alias("score")).select("source_table", "row_id", "ref_id", "score")
+    """``source_table``, ``row_id``, ``ref_id``, ``score``, ``ranked_first`` of the rows (source_table, row_id, value) with a value."""
+    some = rows.where("value is not null and trim(value) <> ''").select("source_table", "row_id", "value")
+    # only values with very many rows are spread; there are few of them
+    hot = some.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).select("value", F.ceil(F.col("n") / HOT_ROWS).alias("parts"))
+    found = match_values(some, reference).join(hot, "value", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("parts") - 1, F.lit(0).cast("bigint"))))).drop("parts")
+    salted = some.join(hot, "value", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("source_table", "row_id"), F.col("parts")), F.lit(0).cast("bigint"))).drop("parts")
+    got = [F.first(c).alias(c) for c in ("ref_id", "score", "ranked_first")]
+    return salted.join(found, ["value", "salt"]).groupBy("value", "salt", "source_table", "row_id").agg(*got).select("source_table", "row_id", "ref_id", "score", "ranked_first")
 
 
 def material_rows(entities: DataFrame, results: DataFrame) -> DataFrame:

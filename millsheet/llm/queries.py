@@ -35,6 +35,12 @@ def p6_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     return _materials(spark, sf).groupBy("source_table", "ref_id").agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"))
 
 
+def p6_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the values that name an entry, how many have it first in the ranking, before the check of codes."""
+    m = _materials(spark, sf)
+    return m.groupBy("source_table").agg(F.count("*").alias("n"), F.count_if(F.col("ref_id") != "NONE").alias("n_named"), F.count_if((F.col("ref_id") != "NONE") & (F.col("ref_id") == F.col("ranked_first"))).alias("n_first"), F.count_if((F.col("ref_id") == "NONE") & (F.col("ranked_first") != "NONE")).alias("n_refused"))
+
+
 def _companies(spark: SparkSession, sf: str) -> DataFrame:
     return link_names(supplier_names(table(spark, sf, "extraction_result"), table(spark, sf, "seed_record")))
 
@@ -78,7 +84,7 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return per.join(F.broadcast(c), "capacity_id").select("capacity_id", "containers", "tokens", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 5).alias("used"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p7_found, p7_companies, p9_found, p10_found, p5_found, p5_segments, p8_containers, p8_fill)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p6_ranking, p7_found, p7_companies, p9_found, p10_found, p5_found, p5_segments, p8_containers, p8_fill)}
 
 ORACLE = {
     "p4_found": """

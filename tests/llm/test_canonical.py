@@ -1,6 +1,7 @@
 import pytest
 
-from millsheet.llm.canonical import allowed, deletions, edits, map_rows, match_values, repair
+from millsheet.llm import canonical as C
+from millsheet.llm.canonical import Reference, allowed, deletions, edits, map_rows, match_values, repair
 
 REF = [
     ("M1", "Stainless steel 321", "stainless", "321", "1.4541", "X6CrNiTi18-10"), ("M2", "Stainless steel 310S", "stainless", "310S", "1.4845", None), ("M3", "Steel S275JR", "steel", "S275JR", "1.0044", None),
@@ -44,3 +45,23 @@ def test_repair_equals_brute_force(spark):
     got = {(r.token, r.word) for r in repair(spark.createDataFrame([(t,) for t in tokens], "token string"), vocab).collect()}
     want = {(t, w) for t in tokens for w in vocab if edits(t, w, 3) <= allowed(min(len(t), len(w))) and deletions(t, allowed(len(t))) & deletions(w, allowed(len(w)))}
     assert got == want
+
+
+def test_values_of_many_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(C, "HOT_ROWS", 100)
+    rows = [("e", k, "SS-321") for k in range(1030)] + [("e", 5000 + k, f"Steel S275JR {k}") for k in range(5)]
+    got = map_rows(spark.createDataFrame(rows, "source_table string, row_id long, value string"), spark.createDataFrame(REF, SCHEMA)).collect()
+    assert len(got) == 1035
+    assert {(r.row_id < 5000, r.ref_id) for r in got} == {(True, "M1"), (False, "M3")}
+
+
+def test_ranking_of_all_entries_and_the_check():
+    ref = Reference([(r[0], r[1], r[2], [c for c in r[3:] if c]) for r in REF])
+    words = {"stainless": [("stainless", 1.0)], "steel": [("steel", 1.0)]}
+    assert ref.rank("stainless steel 321", words)[::2] == ("M1", "M1")
+    # words alone rank an entry first, but name none
+    got = ref.rank("stainless steel 999", words)
+    assert got[0] == "NONE"
+    assert got[2] in ("M1", "M2")
+    # a code further in front outranks and is the one that counts
+    assert ref.rank("steel S275JR for stainless 321", words)[::2] == ("M3", "M3")
