@@ -117,7 +117,7 @@ def before(token: str) -> list[str]:
     shape = _shape(word[-12:])
     digit = last[-1].isdigit()
     out = [f"L{script}{kind}{'9' if digit else size}", f"s{shape}", f"z{size}{last.isdigit()}", f"k{kind}", f"S{script}{size if script != 'l' else ''}"]
-    if not digit and len(last) < 9:
+    if not digit and len(last) < 7:  # abbreviations are short
         out += [f"w{low[-12:]}", f"v{last}"]
     return out
 
