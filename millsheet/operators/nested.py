@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millsheet.session import shared_folder
+from millsheet.session import work_folder
 
 #: Payload schemas by tag.
 SCHEMAS = {
@@ -158,8 +158,8 @@ def read_tag(spark, path: str, tag: str) -> DataFrame:  # noqa: ANN001
 
 
 def flat_tables(deliveries: DataFrame) -> dict[str, DataFrame]:
-    """All flat tables, over one pass that writes the tagged rows to the shared folder."""
-    path = f"{shared_folder(deliveries.sparkSession)}/millsheet-tags-{uuid.uuid4().hex}"
+    """All flat tables, over one pass that writes the tagged rows to the application's folder."""
+    path = f"{work_folder(deliveries.sparkSession)}/tags-{uuid.uuid4().hex}"
     write_tagged(tagged(deliveries), path)
     return {t: read_tag(deliveries.sparkSession, path, t) for t in SCHEMAS}
 
