@@ -27,7 +27,7 @@ from millsheet.session import cut
 
 #: Items that are packed together; rounds of exchange.
 PART, ROUNDS = 20_000, 3
-#: The setting that names the tokenizer's file of ranks, and the file taken if it is unset.
+#: The setting that names the tokenizer's file of ranks, and the file taken if it is unset; the setting with ``.pattern`` names the pattern that cuts texts.
 SETTING, DEFAULT = "spark.millsheet.tokenizer", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 
 _ENCODINGS: dict[str, object] = {}
@@ -48,12 +48,12 @@ def count_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id``, ``tokens`` of every text (doc_id, text) that has any."""
     spark = documents.sparkSession
     path = path or spark.conf.get(SETTING, None) or DEFAULT
+    pattern = spark.conf.get(f"{SETTING}.pattern", None)
+    if pattern is None:
+        # counts of another pattern would be other counts: without the pattern that belongs to the file this fails
+        from public_tokenizers import PATTERN as pattern
     with open(path, "rb") as f:
         ranks = f.read()
-    try:
-        from public_tokenizers import PATTERN as pattern
-    except ImportError:
-        pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     shared = spark.sparkContext.broadcast((ranks, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,12 +67,18 @@ def count_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     """Containers that items of these sizes need at least, by two families of dual feasible functions."""
-    if not len(sizes):
+    x, n = np.unique(sizes.astype(np.int64), return_counts=True)
+    return lower_bound_of(x, n, capacity)
+
+
+def lower_bound_of(x: np.ndarray, times: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of distinct sizes that occur so many times."""
+    if not len(x):
         return 0
-    x = sizes.astype(np.int64)
-    best = -(-int(x.sum()) // capacity)
+    best = -(-int((x * times).sum()) // capacity)
     # items above capacity - e fill a container, items below e vanish
-    count = np.bincount(x, minlength=capacity + 1)
+    count = np.zeros(capacity + 1, np.int64)
+    count[x] = times
     weight = count * np.arange(capacity + 1)
     n, w = np.r_[0, np.cumsum(count)], np.r_[0, np.cumsum(weight)]
     e = np.arange(capacity // 2 + 1)
@@ -84,10 +90,17 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
         y = x * (k + 1)
         # f(x) * k * capacity in whole numbers
         f = np.where(y % capacity == 0, x * k, (y // capacity) * capacity)
-        best = max(best, -(-int(f.sum()) // (k * capacity)))
+        best = max(best, -(-int((f * times).sum()) // (k * capacity)))
     return best
 
 
+def least_containers(packed: DataFrame, capacity: int) -> int:
+    """Containers that the pieces of a packing (capacity_id, tokens) of one capacity need at least, all parts together."""
+    # one row for each length, of which there are no more than the capacity
+    count = packed.groupBy("tokens").count().collect()
+    return lower_bound_of(np.array([r[0] for r in count], np.int64), np.array([r[1] for r in count], np.int64), capacity)
+
+
 def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Container number of each item; ``sizes`` is in decreasing order."""
     open_: list[list[int]] = [[] for _ in range(capacity + 1)]

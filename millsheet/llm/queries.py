@@ -9,11 +9,11 @@ from millsheet.llm.canonical import map_rows, material_rows
 from millsheet.llm import language
 from millsheet.llm.leakage import find_leaks
 from millsheet.llm.names import link_names, linked_pairs, supplier_names
-from millsheet.llm.packing import count_tokens, pack
+from millsheet.llm.packing import count_tokens, least_containers, pack
 from millsheet.llm.sentences import split_sentences
 from millsheet.llm.topn import top_n
 from millsheet.operators.quantities import document_key
-from millsheet.session import spread, table
+from millsheet.session import cut, spread, table
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,10 +78,13 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Containers, tokens and used share of each capacity."""
-    c = table(spark, sf, "pack_capacity").select("capacity_id", "capacity_tokens").distinct()
-    per = p8_containers(spark, sf).groupBy("capacity_id").agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
-    return per.join(F.broadcast(c), "capacity_id").select("capacity_id", "containers", "tokens", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 5).alias("used"))
+    """Of each capacity: containers, tokens, the used share, the containers that are needed at least, and how many more there are."""
+    packed = cut(p8_containers(spark, sf))
+    sizes = sorted({(r[0], r[1]) for r in table(spark, sf, "pack_capacity").select("capacity_id", "capacity_tokens").collect() if r[1]})
+    least = spark.createDataFrame([(k, c, least_containers(packed.where(F.col("capacity_id") == k), c)) for k, c in sizes], "capacity_id int, capacity_tokens int, least int")
+    per = packed.groupBy("capacity_id").agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
+    used = F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 5).alias("used")
+    return per.join(least, "capacity_id").select("capacity_id", "containers", "tokens", used, "least", (F.col("containers") - F.col("least")).alias("above_least"))
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_unmatched, p6_ranking, p7_found, p7_companies, p9_found, p10_found, p5_found, p5_segments, p8_containers, p8_fill)}

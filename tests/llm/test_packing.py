@@ -3,7 +3,7 @@ import itertools
 import numpy as np
 import pytest
 
-from millsheet.llm.packing import best_fit_decreasing, count_tokens, lower_bound, pack
+from millsheet.llm.packing import best_fit_decreasing, count_tokens, least_containers, lower_bound, pack
 
 
 def _optimum(sizes, capacity):
@@ -38,6 +38,11 @@ def test_bounds_hold_and_nothing_overflows():
     assert lower_bound(np.array([], int), 5) == 0
 
 
+def test_bound_of_counted_sizes(spark):
+    d = spark.createDataFrame([(1, t) for t in [7, 7, 7, 3, 3, 6, 10]], "capacity_id int, tokens int")
+    assert least_containers(d, 10) == lower_bound(np.array([7, 7, 7, 3, 3, 6, 10]), 10) == 5
+
+
 CAPS = "capacity_id int, purpose string, capacity_tokens int"
 
 
