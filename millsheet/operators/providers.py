@@ -12,11 +12,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millsheet.functions.pages import chosen_engine, mean_confidence
+from millsheet.functions.pages import chosen_engine, corner_bbox, mean_confidence, stem
+from millsheet.functions.text import strip
+from millsheet.operators.runs import cleaner
 from millsheet.sources.readers import WORDS
 
 #: Kinds of providers: what they add to (document_name, page_number, content).
-KINDS = {"render": "content binary", "clean": "content binary", "text_layer": f"words {WORDS}", "ocr": f"words {WORDS}", "ocr_fallback": f"words {WORDS}"}
+KINDS = {"render": "content binary", "decode": "content binary", "clean": "content binary", "gray": "content binary", "text_layer": f"words {WORDS}", "ocr": f"words {WORDS}", "ocr_fallback": f"words {WORDS}"}
 _REGISTERED: dict[str, Callable[[pd.DataFrame], pd.Series]] = {}
 
 
@@ -56,6 +58,24 @@ def provide(pages: DataFrame, kind: str) -> DataFrame:
     return pages.mapInPandas(run, f"{names}, `{column}` {type_}, error string")
 
 
+def preprocess(pages: DataFrame) -> DataFrame:
+    """Pages (document_name, page_number, content, modality) made ready for reading: each provider sees only the pages that are routed to it."""
+    routed = pages.withColumn("via", cleaner(F.col("modality")))
+    return provide(routed.where("via = 'clean'"), "clean").unionByName(provide(routed.where("via = 'gray'"), "gray")).drop("via")
+
+
+def text_layer_pages(pages: DataFrame) -> DataFrame:
+    """Pages read from a text layer: ``pages`` (document_name, page_number, text, layer), where ``layer`` has the words with their corners.
+
+    Blank words don't count, boxes are whole numbers, a page with words is sure (100), one without is not (0).
+    """
+    kept = F.filter("layer", lambda w: strip(w["text"]) != "")
+    words = F.transform(kept, lambda w: F.struct(strip(w["text"]).alias("text"), F.lit(100.0).alias("confidence"), corner_bbox(w).alias("bbox")))
+    named = F.format_string("%s_p%02d.pdf-text", stem(F.col("document_name")), F.col("page_number"))
+    out = pages.select("document_name", "page_number", named.alias("page_file"), strip(F.coalesce("text", F.lit(""))).alias("full_text"), F.coalesce(words, F.array().cast(WORDS)).alias("words"))
+    return out.withColumn("avg_confidence", F.when(F.size("words") > 0, 100.0).otherwise(0.0)).withColumn("engine", F.lit("tesseract"))
+
+
 def read_pages(pages: DataFrame, fallback: bool = True) -> DataFrame:
     """Words, engine and confidence of scanned pages: the second engine only sees the pages the first wasn't sure of.
 

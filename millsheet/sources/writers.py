@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millsheet.functions.pages import stem
+from millsheet.functions.rules import FIELDS
 from millsheet.functions.text import one_decimal
 
 
@@ -35,6 +39,31 @@ def extraction_documents(fields: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
+def page_file(document: Column, number: Column) -> Column:
+    """The name of a page's image file."""
+    return F.format_string("%s_p%02d.png", stem(document), number)
+
+
+def write_page_files(pages: DataFrame, folder: str) -> None:
+    """Images (document_name, page_number, content) as files of a folder that all executors share; what is there is written again."""
+
+    def write(rows) -> None:  # noqa: ANN001
+        for r in rows:
+            with open(os.path.join(folder, r.file), "wb") as f:
+                f.write(r.content)
+
+    os.makedirs(folder, exist_ok=True)
+    pages.where("content is not null").select(page_file(F.col("document_name"), F.col("page_number")).alias("file"), "content").foreachPartition(write)
+
+
+def metrics_document(measured: DataFrame, per_doc: DataFrame) -> DataFrame:
+    """One nested row: ``per_entity`` and ``macro`` by measure, and the outcomes of every document (a report of some thousands of documents)."""
+    rows = measured.select("section", "name", "measure", "value").unionByName(per_doc.select(F.struct(*per_doc.columns).alias("doc")), allowMissingColumns=True)
+    values = lambda section, name: F.map_from_entries(F.transform(F.filter("m", lambda x: (x["section"] == section) & (x["name"] == name)), lambda x: F.struct(x["measure"], x["value"])))
+    held = rows.agg(F.collect_list(F.when(F.col("measure").isNotNull(), F.struct("section", "name", "measure", "value"))).alias("m"), F.array_sort(F.collect_list("doc")).alias("per_doc"))
+    return held.select(F.struct(*[values("per_entity", f).alias(f) for f in FIELDS]).alias("per_entity"), values("macro", "macro").alias("macro"), "per_doc")
+
+
 def write_json(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON lines that keep null fields."""
     rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
