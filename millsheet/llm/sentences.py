@@ -63,7 +63,7 @@ FIRST = [
 _FINAL = ".!?…।॥؟。！？｡"
 _CLOSE = "\"'”“’»」』)）]】›"
 _PARAGRAPH = re.compile(r"(?:\r\n?|\n)[^\S\n]*(?:(?:\r\n?|\n)[^\S\n]*)+|[\f\v ]\s*")
-_LABEL = re.compile(r"\s*([^\s:=：][^:=：\n]{0,38}?)\s*[:=：]\s*(\S.*?)\s*$")
+_LABEL = re.compile(r"\s*([^\s:=：][^:=：\n]*?)\s*[:=：]\s*(\S.*?)\s*$")
 _NUMBERS = re.compile(r"[\s\d./,;|+–—-]*\d[\s\d./,;|+–—-]*$")
 _QUOTE = re.compile(r"«[^«»]*»|„[^„“”]*[“”]|“[^“”]*”|「[^「」]*」|『[^『』]*』|(?<![^\s(\[:,])\"(?=\S)[^\"]*\"|(?<![^\s(\[:,])['‘](?=[^\W\d_])[^'’]*(?:[’'](?=[^\W\d_])[^'’]*)*[.!?]['’](?!\w)")
 _THAI = "฀-๿຀-໿ក-៿က-႟"
