@@ -54,27 +54,37 @@ def find_all(text: str, pattern: str, groups: int = 0) -> Column:
     return F.expr(let_sql(f"named_struct('g0', regexp_extract_all({text}, {p}, 0){of}, 'pieces', split({text}, {p}, -1))", "w", f"if(size(w.g0) > 0, {inner}, cast(array() as {kind}))"))
 
 
-def _latin() -> tuple[str, str]:
-    pairs = []
-    for cp in range(0xC0, 0x250):
+def _decompositions() -> tuple[str, str, dict[str, str]]:
+    """Letters (of the basic plane) that decompose to one letter, what each becomes, and those that become several; by the Unicode tables of Python."""
+    one, several = {}, {}
+    for cp in (*range(0xA0, 0xAC00), *range(0xF900, 0x10000)):
         d = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c))
         if len(d) == 1 and d != chr(cp):
-            pairs.append((chr(cp), d))
-    for cp in range(0xFF10, 0xFF1A):
-        pairs.append((chr(cp), chr(cp - 0xFEE0)))
-    pairs += [("²", "2"), ("³", "3"), ("¹", "1"), (" ", " "), (" ", " ")]
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+            one[chr(cp)] = d
+        elif len(d) > 1 and len(d) < 5:
+            several[chr(cp)] = d
+    return "".join(one), "".join(one.values()), several
 
 
-_FROM, _TO = _latin()
+_FROM, _TO, _SEVERAL = _decompositions()
+#: The same letters as a class of ranges.
+_SEVERAL_CLASS = "[" + "".join(f"\\x{{{ord(x):x}}}{'' if chr(ord(x) - 1) in _SEVERAL else '-'}" if (chr(ord(x) - 1) in _SEVERAL) != (chr(ord(x) + 1) in _SEVERAL) else f"\\x{{{ord(x):x}}}" for x in sorted(_SEVERAL) if not (chr(ord(x) - 1) in _SEVERAL and chr(ord(x) + 1) in _SEVERAL)) + "]"
+
+
+def _expanded(c: Column) -> Column:
+    """Ligatures, fractions, unit signs and the like as the letters they stand for; texts without any (nearly all) cost one look."""
+    letters = F.split(c, "")
+    known = F.expr(f"map_from_arrays(split({quoted(''.join(_SEVERAL))}, ''), split({quoted(chr(1).join(_SEVERAL.values()))}, '\\u0001'))")
+    wide = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(known, x), x)), "")
+    return F.when(~c.rlike(r"[^\x00-\x7f]"), c).when(c.rlike(_SEVERAL_CLASS), wide).otherwise(c)
 
 
 def eval_normalize(c: Column) -> Column:
-    """Decomposed without accents, lower case, punctuation but ``/ . - +`` blank, blanks collapsed; null gives ''.
+    """Compatibility decomposition without accents, lower case, punctuation but ``/ . - +`` blank, blanks collapsed; null gives ''.
 
-    Latin letters are mapped natively, combining marks are dropped; other decompositions don't occur in scored fields.
+    Letters outside the basic plane and Hangul syllables stay as they are.
     """
-    s = F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), _FROM, _TO), r"\p{M}", "")
+    s = _expanded(F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), _FROM, _TO), r"\p{M}", ""))
     s = F.regexp_replace(F.lower(s), r"(?U)[^\w\s/.\-+]", " ")
     return strip(collapse(s))
 

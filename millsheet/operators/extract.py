@@ -169,8 +169,12 @@ def best(cands: DataFrame) -> DataFrame:
     return first.select("doc", "field", "b.value", (-F.col("b.c")).alias("confidence"))
 
 
-def notes(n_project: Column, n_supplier: Column) -> Column:
-    """Remarks on ambiguous and missing fields."""
+def notes(project: str, supplier: str) -> Column:
+    """Remarks on ambiguous and missing fields, from the arrays of candidates (each is named once, so that it is made once)."""
+    return F.transform(F.array(F.struct(F.size(project).alias("p"), F.size(supplier).alias("s"))), lambda n: _notes(n["p"], n["s"]))[0]
+
+
+def _notes(n_project: Column, n_supplier: Column) -> Column:
     return F.array_compact(
         F.array(
             F.when(n_project > 1, F.format_string("Multiple project IDs found (%d), selected highest confidence", n_project)),
@@ -194,7 +198,7 @@ def best_in_row(cands: str) -> str:
 def extract(documents: DataFrame) -> DataFrame:
     """doc, the best value of each field (null if none), and the notes: one projection, no shuffle."""
     found = _texts(documents).select("doc", *[F.expr(EXTRACTORS[f]("text")).alias(f) for f in rules.FIELDS])
-    return found.select("doc", *[F.expr(best_in_row(f)).alias(f) for f in rules.FIELDS], notes(F.size("project_id"), F.size("supplier")).alias("notes"))
+    return found.select("doc", *[F.expr(best_in_row(f)).alias(f) for f in rules.FIELDS], notes("project_id", "supplier").alias("notes"))
 
 
 def extract_with_candidates(documents: DataFrame) -> DataFrame:
@@ -202,4 +206,4 @@ def extract_with_candidates(documents: DataFrame) -> DataFrame:
     found = _texts(documents).select("doc", *[F.expr(EXTRACTORS[f]("text")).alias(f) for f in rules.FIELDS])
     of = lambda f: f"transform({f}, c -> named_struct('field', '{f}', 'value', c.value, 'confidence', bround(c.confidence, 3), 'source', c.source, 'raw_text', substring(c.raw_text, 1, 100)))"
     everything = F.expr(f"concat({', '.join(map(of, rules.FIELDS))})").alias("all_candidates")
-    return found.select("doc", *[F.expr(best_in_row(f)).alias(f) for f in rules.FIELDS], everything, notes(F.size("project_id"), F.size("supplier")).alias("notes"))
+    return found.select("doc", *[F.expr(best_in_row(f)).alias(f) for f in rules.FIELDS], everything, notes("project_id", "supplier").alias("notes"))

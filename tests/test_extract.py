@@ -1,10 +1,11 @@
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from millsheet.functions import rules
-from millsheet.functions.text import find_all, one_decimal
+from millsheet.functions.text import eval_normalize, find_all, one_decimal
 from millsheet.operators import extract as X
 from millsheet.operators import score as S
 
@@ -122,3 +123,13 @@ def test_one_decimal_rounds_as_printf(spark):
 def test_outcomes(spark, field, pred, label, want):
     d = spark.createDataFrame([(field, pred, label)], "field string, pred string, label string")
     assert d.select(S.outcome(F.col("field"), F.col("pred"), F.col("label"), F.lit(True))).first()[0] == want
+
+
+def test_normalisation_decomposes_as_unicode_says(spark):
+    def want(t):
+        d = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower()
+        return re.sub(r"\s+", " ", re.sub(r"[^\w\s/.\-+]", " ", d)).strip()
+
+    texts = ["Aciérie ﬁne ½ ㎏ № 5 ™", "ＡＢＣ１２３", "ﬀﬂ x² 10³", "Ångström Œuvre Straße", "", "㎜ ㎝ ℃ Ⅻ", "ǅ ĳ", *("".join(chr(c) for c in range(a, a + 64)) for a in range(0xA0, 0x250, 64))]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", eval_normalize(F.col("t")).alias("n")).collect()
+    assert {r.t: r.n for r in got} == {t: want(t) for t in texts}
