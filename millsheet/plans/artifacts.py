@@ -15,6 +15,8 @@ from millsheet.operators import providers, runs, udtf
 from millsheet.operators import score as S
 from millsheet.plans import reference as R
 from millsheet.plans.corpus import WITH, corpus
+from millsheet.plans.forms import WITH as FORMS_WITH
+from millsheet.plans.forms import forms
 from millsheet.session import table, work_folder
 from millsheet.sources import readers, writers
 
@@ -60,6 +62,22 @@ def udtf_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return numbered.select("doc", position.cast("int").alias("position"), "field", "value", F.bround("confidence", 3).alias("confidence"), "source", F.substring("raw_text", 1, 100).alias("raw_text"))
 
 
+# ---- forms
+
+
+@query(f"{FORMS_WITH} SELECT * FROM corpus")
+def generated_forms(spark: SparkSession, sf: str) -> DataFrame:
+    return forms(spark)
+
+
+@query(f"{R._OUT_CTE.replace(WITH, FORMS_WITH)} SELECT doc_type, field, outcome, count(*) AS n FROM outcomes GROUP BY ALL")
+def form_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """How well the fields of each kind of form are found."""
+    f = forms(spark)
+    o = S.outcomes(f.select("doc", *[f"g_{x}" for x in rules.FIELDS]), X.extract(f.select("doc", "text")), "doc")
+    return o.join(f.select("doc", "doc_type"), "doc").groupBy("doc_type", "field", "outcome").agg(F.count("*").alias("n"))
+
+
 # ---- reports of runs
 
 
