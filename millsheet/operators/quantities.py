@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millsheet.session import cut
+
 #: Records of one source's history that are segmented together.
 BLOCK = 512
 #: Cost of a changepoint, in squared log10 units. Known factors differ by at least log10(1.1); readings of one amount by less than log10(1.02).
@@ -301,8 +303,9 @@ def _in_order(records: DataFrame) -> DataFrame:
         F.coalesce("source", F.concat(F.lit("\u0002"), F.col("row_id").cast("string"))).alias("source"), F.floor(F.coalesce(F.col("position"), F.lit(0)) / BLOCK).alias("block"),
         "source_table", "row_id", F.col("position").cast("long").alias("position"), "value", "context",
     )
-    # blocks whose positions repeat or are missing too often are cut further; there are few of them
-    hot = rows.groupBy("source", "block").agg(F.count("*").alias("n")).where(F.col("n") > 4 * BLOCK).select("source", "block", F.ceil(F.col("n") / BLOCK).alias("parts"))
+    # blocks whose positions repeat or are missing too often are cut further; there are few of them, and a written table is
+    # joined by its real size: broadcast as long as it is small, so that the records are shuffled once
+    hot = cut(rows.groupBy("source", "block").agg(F.count("*").alias("n")).where(F.col("n") > 4 * BLOCK).select("source", "block", F.ceil(F.col("n") / BLOCK).alias("parts")))
     part = F.coalesce(F.pmod(F.xxhash64("source_table", "row_id"), F.col("parts")), F.lit(0))
     return (
         rows.join(hot, ["source", "block"], "left")
