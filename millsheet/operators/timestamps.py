@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millsheet.session import cut
+
 #: Records of one source that one Viterbi pass covers, about and at most; the share of a window's length read on either side of it.
 WINDOW, BLOCK, HALO = 2000, 16_000, 0.1
 #: Costs of the pass: another order of day and month than before, another format, an earlier day, a reading against the site's convention.
@@ -294,13 +296,14 @@ def _solve_hidden(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _in_order(records: DataFrame, window_rows: int) -> DataFrame:
     """The records by window, each in its order; those near an edge are in the neighbouring window as well."""
     rows = records.where(F.col("value").isNotNull() & F.col("row_id").isNotNull()).select("source_table", "row_id", "value", "site_tz", "recorded_at", F.concat_ws("\u0001", "source_table", F.coalesce("site_tz", F.lit(""))).alias("source"), F.unix_timestamp("recorded_at").alias("t"), F.coalesce(F.unix_timestamp("recorded_at"), F.lit(0)).alias("at"))
+    # written tables are joined by their real size: broadcast as long as they are small, so that the records are shuffled once
     # one row per source: how long its windows are to hold so many rows
-    spans = rows.groupBy("source").agg(F.greatest(F.lit(1), F.coalesce(F.ceil((F.max("t") - F.min("t")) * window_rows / F.count("*")), F.lit(1))).alias("size"))
+    spans = cut(rows.groupBy("source").agg(F.greatest(F.lit(1), F.coalesce(F.ceil((F.max("t") - F.min("t")) * window_rows / F.count("*")), F.lit(1))).alias("size")))
     rows = rows.join(spans, "source")
     window = lambda shift: F.floor((F.col("at") + shift * F.col("size")) / F.col("size"))
     rows = rows.withColumn("home", window(0)).withColumn("window", F.explode(F.array_distinct(F.array(window(0), window(-HALO), window(HALO)))))
     # windows that hold far more rows than they should, as where many have one time, are cut further; there are few of them
-    hot = rows.groupBy("source", "window").agg(F.count("*").alias("n")).where(F.col("n") > 4 * window_rows).select("source", "window", F.ceil(F.col("n") / window_rows).alias("parts"))
+    hot = cut(rows.groupBy("source", "window").agg(F.count("*").alias("n")).where(F.col("n") > 4 * window_rows).select("source", "window", F.ceil(F.col("n") / window_rows).alias("parts")))
     part = F.coalesce(F.pmod(F.xxhash64("source_table", "row_id"), F.col("parts")), F.lit(0))
     return (
         rows.join(hot, ["source", "window"], "left")
