@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millsheet.session import cut
+
 MAX_ENTRIES = 50_000
 #: A value with more rows than this is looked up once, but its rows are spread over several parts.
 HOT_ROWS = 200_000
@@ -260,7 +262,7 @@ def map_rows(rows: DataFrame, reference: DataFrame) -> DataFrame:
     """``source_table``, ``row_id``, ``ref_id``, ``score``, ``ranked_first`` of the rows (source_table, row_id, value) with a value."""
     some = rows.where("value is not null and trim(value) <> ''").select("source_table", "row_id", "value")
     # only values with very many rows are spread; there are few of them
-    hot = some.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).select("value", F.ceil(F.col("n") / HOT_ROWS).alias("parts"))
+    hot = cut(some.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).select("value", F.ceil(F.col("n") / HOT_ROWS).alias("parts")))
     found = match_values(some, reference).join(hot, "value", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("parts") - 1, F.lit(0).cast("bigint"))))).drop("parts")
     salted = some.join(hot, "value", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("source_table", "row_id"), F.col("parts")), F.lit(0).cast("bigint"))).drop("parts")
     got = [F.first(c).alias(c) for c in ("ref_id", "score", "ranked_first")]
