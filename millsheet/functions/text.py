@@ -76,7 +76,7 @@ def _expanded(c: Column) -> Column:
     letters = F.split(c, "")
     known = F.expr(f"map_from_arrays(split({quoted(''.join(_SEVERAL))}, ''), split({quoted(chr(1).join(_SEVERAL.values()))}, '\\u0001'))")
     wide = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(known, x), x)), "")
-    return F.when(~c.rlike(r"[^\x00-\x7f]"), c).when(c.rlike(_SEVERAL_CLASS), wide).otherwise(c)
+    return F.when(c.rlike(_SEVERAL_CLASS), wide).otherwise(c)
 
 
 def eval_normalize(c: Column) -> Column:
@@ -84,13 +84,21 @@ def eval_normalize(c: Column) -> Column:
 
     Letters outside the basic plane and Hangul syllables stay as they are.
     """
-    s = _expanded(F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), _FROM, _TO), r"\p{M}", ""))
-    s = F.regexp_replace(F.lower(s), r"(?U)[^\w\s/.\-+]", " ")
-    return strip(collapse(s))
+    given = F.coalesce(c, F.lit(""))
+    plain = F.when(~given.rlike(r"[^\x00-\x7f]"), given).otherwise(_expanded(F.regexp_replace(F.translate(given, _FROM, _TO), r"\p{M}", "")))
+    return strip(collapse(F.regexp_replace(F.lower(plain), r"(?U)[^\w\s/.\-+]", " ")))
+
+
+def id_of(normalized: Column) -> Column:
+    return F.regexp_replace(normalized, "[^a-z0-9]", "")
+
+
+def qty_of(normalized: Column) -> Column:
+    return F.replace(F.replace(normalized, F.lit("kgs"), F.lit("kg")), F.lit("lbs"), F.lit("lb"))
 
 
 def eval_normalize_id(c: Column) -> Column:
-    return F.regexp_replace(eval_normalize(c), "[^a-z0-9]", "")
+    return id_of(eval_normalize(c))
 
 
 def eval_normalize_date(c: Column) -> Column:
@@ -104,7 +112,7 @@ def eval_normalize_date(c: Column) -> Column:
 
 
 def eval_normalize_qty(c: Column) -> Column:
-    return F.replace(F.replace(eval_normalize(c), F.lit("kgs"), F.lit("kg")), F.lit("lbs"), F.lit("lb"))
+    return qty_of(eval_normalize(c))
 
 
 def date_text_sql(day: str, month: str, year: str) -> str:

@@ -6,32 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millsheet.functions.rules import FIELDS
-from millsheet.functions.text import eval_normalize, eval_normalize_date, eval_normalize_id, eval_normalize_qty
+from millsheet.functions.text import eval_normalize, eval_normalize_date, id_of, qty_of
 
 #: Share of the label's tokens that a free-text prediction must hold.
 OVERLAP = 0.34
 
 
+def _overlap(p: Column, g: Column) -> Column:
+    tokens = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda t: F.length(t) >= 3))
+    # the label's tokens are named once
+    return F.transform(F.array(tokens(g)), lambda t: F.when(F.size(t) > 0, F.size(F.array_intersect(tokens(p), t)) / F.size(t)))[0]
+
+
 def token_overlap(pred: Column, label: Column) -> Column:
     """Share of the label's distinct tokens of three or more letters that the prediction has; null without any."""
-    tokens = lambda c: F.array_distinct(F.filter(F.split(eval_normalize(c), " "), lambda t: F.length(t) >= 3))
-    p, g = tokens(pred), tokens(label)
-    return F.when(F.size(g) > 0, F.size(F.array_intersect(p, g)) / F.size(g))
+    return _overlap(eval_normalize(pred), eval_normalize(label))
 
 
 def matches(field: Column, pred: Column, label: Column) -> Column:
     """Whether a prediction satisfies a label of its field."""
     inside = lambda a, b: ((a != "") & F.contains(b, a)) | F.contains(a, b)
-    p, g = eval_normalize(pred), eval_normalize(label)
-    free = F.when(p == "", False).otherwise(F.coalesce(token_overlap(pred, label) >= OVERLAP, p == g))
-    by_field = (
-        F.when(field == "project_id", inside(eval_normalize_id(pred), eval_normalize_id(label)))
-        .when(field == "date", eval_normalize_date(pred) == eval_normalize_date(label))
-        .when(field == "quantity", inside(eval_normalize_qty(pred), eval_normalize_qty(label)))
-        .otherwise(free)
-    )
-    none = F.coalesce(pred, F.lit("")) == ""
-    return F.when(none, False).when((F.coalesce(label, F.lit("")) == "") | (F.upper(g) == "N/A"), True).otherwise(by_field)
+
+    def of(x: Column) -> Column:
+        p, g = x["p"], x["g"]
+        free = F.when(p == "", False).otherwise(F.coalesce(_overlap(p, g) >= OVERLAP, p == g))
+        by_field = (
+            F.when(field == "project_id", inside(id_of(p), id_of(g)))
+            .when(field == "date", eval_normalize_date(pred) == eval_normalize_date(label))
+            .when(field == "quantity", inside(qty_of(p), qty_of(g)))
+            .otherwise(free)
+        )
+        return F.when((F.coalesce(label, F.lit("")) == "") | (F.upper(g) == "N/A"), True).otherwise(by_field)
+
+    # both are normalised once, whatever the field
+    normalised = F.array(F.struct(eval_normalize(pred).alias("p"), eval_normalize(label).alias("g")))
+    return F.when(F.coalesce(pred, F.lit("")) == "", False).otherwise(F.transform(normalised, of)[0])
 
 
 def outcome(field: Column, pred: Column, label: Column, present: Column) -> Column:
