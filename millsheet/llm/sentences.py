@@ -18,7 +18,7 @@ Label lines and lines of bare numbers are units of their own, blank lines end a
 quoted belongs to the sentence that carries it, so marks inside a quotation are no candidates.
 
 Cases: null and empty texts, and texts of blanks only, have no row; very long texts are read whole; positions are code
-points; rows repeated under one id count once; extra columns are dropped; without texts to train on the model starts from
+points; rows repeated under one id count once, of different texts the first; extra columns are dropped; without texts to train on the model starts from
 ``FIRST`` alone.
 """
 
@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millsheet.session import cut
+
 #: Texts that the model is trained on, at most: with final punctuation, and in scripts without.
 TRAIN_DOCUMENTS = 2000
 #: Rounds of decoding and fitting.
@@ -65,6 +67,7 @@ _CLOSE = "\"'”“’»」』)）]】›"
 _PARAGRAPH = re.compile(r"(?:\r\n?|\n)[^\S\n]*(?:(?:\r\n?|\n)[^\S\n]*)+|[\f\v ]\s*")
 _LABEL = re.compile(r"\s*([^\s:=：][^:=：\n]*?)\s*[:=：]\s*(\S.*?)\s*$")
 _NUMBERS = re.compile(r"[\s\d./,;|+–—-]*\d[\s\d./,;|+–—-]*$")
+_BESIDE_DIGITS = "./,;|+–—-"
 _QUOTE = re.compile(r"«[^«»]*»|„[^„“”]*[“”]|“[^“”]*”|「[^「」]*」|『[^『』]*』|(?<![^\s(\[:,])\"(?=\S)[^\"]*\"|(?<![^\s(\[:,])['‘](?=[^\W\d_])[^'’]*(?:[’'](?=[^\W\d_])[^'’]*)*[.!?]['’](?!\w)")
 _THAI = "฀-๿຀-໿ក-៿က-႟"
 _IS_THAI = re.compile(f"[{_THAI}]")
@@ -359,8 +362,9 @@ class Tagger:
             b = text.find("\n", a, end)
             b = end if b < 0 else b
             line = text[a:b]
-            if line.strip():
-                numbers = _NUMBERS.match(line) and (head or len(re.findall(r"\d+", line)) > 2)
+            first = line.lstrip()[:1]
+            if first:
+                numbers = (first.isdigit() or first in _BESIDE_DIGITS) and _NUMBERS.match(line) and (head or len(re.findall(r"\d+", line)) > 2)
                 if numbers or head and is_label(line):
                     if text[piece:a].strip():
                         out += self.cut(text, piece, a)
@@ -380,6 +384,8 @@ class Tagger:
 
 def is_label(line: str) -> bool:
     """Whether a whole line is ``name : value``."""
+    if ":" not in line and "=" not in line and "：" not in line:
+        return False
     m = _LABEL.match(line)
     if not m:
         return False
@@ -567,6 +573,16 @@ def split_sentences(documents: DataFrame) -> DataFrame:
             columns = [np.repeat(b.column("doc_id").to_numpy(zero_copy_only=False), n), number.astype(np.int32), places[:, 0], places[:, 1]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "sent_no", "start_pos", "end_pos"])
 
-    units = documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, "doc_id long, sent_no int, start_pos int, end_pos int")
-    # one narrow shuffle: repeated documents' rows meet, and those of a document stay in order
-    return units.repartition("doc_id").distinct().sortWithinPartitions("doc_id", "sent_no")
+    return once(documents.where("doc_id is not null and text is not null").select("doc_id", "text")).mapInArrow(run, "doc_id long, sent_no int, start_pos int, end_pos int")
+
+
+def once(documents: DataFrame) -> DataFrame:
+    """The documents (doc_id, text) with one row per identifier: of several texts the first by code point.
+
+    Identifiers are counted; only the texts of repeated ones meet, the others stay where they are.
+    """
+    again = cut(documents.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if again.limit(1).count() == 0:
+        return documents
+    repeated = documents.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return documents.join(again, "doc_id", "left_anti").unionByName(repeated)
