@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millsheet.operators.nested import page_rows, tagged
+from millsheet.operators.nested import flat_tables, page_rows
 from millsheet.operators.quantities import hidden_units, normalise_quantities, quantity_records
 from millsheet.operators.timestamps import date_records, hidden_sites, normalise_timestamps
 from millsheet.session import table
@@ -64,7 +64,11 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_tags(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of every flat table of the run summaries."""
-    return tagged(table(spark, sf, "pipeline_run")).groupBy("tag").agg(F.count("*").alias("n"), F.countDistinct("parent").alias("n_parents"))
+    rows = None
+    for tag, t in flat_tables(table(spark, sf, "pipeline_run")).items():
+        n = t.select(F.lit(tag).alias("tag"), "parent")
+        rows = n if rows is None else rows.unionByName(n)
+    return rows.groupBy("tag").agg(F.count("*").alias("n"), F.countDistinct("parent").alias("n_parents"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_hidden, p2_found, p2_formats, p2_hidden, p3_found, p3_tags)}

@@ -35,7 +35,19 @@ def test_links(spark):
     assert set(t) == set(SCHEMAS)
 
 
+def test_the_delivery_that_counts(spark):
+    doc = lambda n: json.dumps({"documents": [_doc(n, outputs={"preprocessed_pages": ["p"]})]})
+    rows = [("A", None, T, doc("no number"), None), ("A", 1, None, doc("first"), None), ("B", 1, datetime(2025, 1, 2), doc("late"), None), ("B", 1, T, doc("early"), None), ("B", 1, None, doc("no time"), None), ("C", 3, T, doc("again"), None), ("C", 3, T, doc("again"), None), ("C", 4, T, doc("cut")[:-2], None)]
+    d = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert sorted((r.run_id, r.document_name, r.page_pos) for r in page_rows(d).collect()) == [("A", "first", 0), ("B", "late", 0), ("C", "again", 0)]
+    t = flat_tables(d)
+    assert {k: x.count() for k, x in t.items()} == {"run": 3, "document": 3, "page": 3, "entity": 0}
+    plan = tagged(d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the test's own
+
+
 def test_empty_and_hot(spark):
+    assert page_rows(spark.createDataFrame([], SCHEMA)).count() == 0
     assert tagged(spark.createDataFrame([], SCHEMA)).count() == 0
     big = json.dumps({"documents": [_doc(f"d{i}", outputs={"preprocessed_pages": ["p"] * 3}) for i in range(3000)]})
     assert page_rows(spark.createDataFrame([("R", 1, T, big, None)], SCHEMA)).count() == 9000
