@@ -117,7 +117,7 @@ def before(token: str) -> list[str]:
     script = _script(last[-1])
     if script == "c" or script == "t":
         return ["L" + script]
-    kind = "i" if low in INNER or low.replace(".", "") in INNER or "." in low and last in INNER else "e" if low in ENDING or low.replace(".", "") in ENDING else "n" if _near(last, INNER) or _near(last, ENDING) else "-"
+    kind = "i" if low in INNER or low.replace(".", "") in INNER or "." in low and last in INNER else "e" if low in ENDING or low.replace(".", "") in ENDING else "f" if _near(last, ENDING) else "n" if _near(last, INNER) else "-"
     size = min(len(last), 6)
     shape = _shape(word[-12:])
     digit = last[-1].isdigit()
@@ -464,8 +464,9 @@ def train_marks(texts: list[str]) -> tuple[dict[str, float], list[float]]:
         at, f = model.rows([of(k) for k in keys])
         guesses.append(np.bincount(at, w[f], len(keys)) - math.log((len(known) + 1) / (n[~inside].sum() + 1)))
     left, right = guesses
-    # after a word that is as usual at ends as any other, a mark before a blank is an end even if a small letter follows
-    plain_word = (left > PLAIN) & [bool(k[2]) and k[1][-1] in _FINAL for k in keys] & (inside & [k[3][0].isalpha() for k in keys] | [k[1][0] != "." for k in keys])
+    # after a word that is as usual at ends as any other, a mark before a blank is an end even if a small letter follows; but not
+    # after what may be a misread abbreviation
+    plain_word = (left > PLAIN) & [bool(k[2]) and k[1][-1] in _FINAL and "kf" not in rows[k] for k in keys] & (inside & [k[3][0].isalpha() for k in keys] | [k[1][0] != "." for k in keys])
     tagger = Tagger()
     tagger.memo = dict(zip(keys, np.where(plain_word, np.maximum(left + right + MARGIN, MARGIN), np.where(inside, np.minimum(left + right, 0.0) - 4.0, left + right + MARGIN)).tolist()))
     weights: dict[str, float] = {}
