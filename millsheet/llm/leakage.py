@@ -6,13 +6,15 @@ the items, and every hit is extended to both sides as far as the words agree. Le
 in the hashes, and the extension lets a word differ by one letter, or be divided in two; case, accents, punctuation and
 layout don't count. A document holds an item if the runs of at least ``RUN`` words cover at least ``SHARE`` of the item's words.
 
-Of the fingerprints that more than ``COMMON`` texts have (of sentences that many texts share) the commonest aren't looked up
-for an item, as long as it can't be held by them alone: what they cover, with the K + W - 2 words on either side that a run
-may have without another fingerprint, is less than ``SHARE`` of it. A document that holds the item has one of its other
-fingerprints as well, and then all are compared. So a shared sentence doesn't bring every document together with every item.
+All fingerprints of all items are looked up. So that a shared sentence doesn't extend every document along every item, each hit
+is first seen with the few words around it (``reach``): where the equal words end on both sides at words that can't be one
+but for a misread letter or a division, its run is known. A pair all of whose runs are known and cover too little is done;
+every other pair is extended. No count of any texts decides what is found.
 
 Items of up to ``ITEM_LETTERS`` letters together are indexed once and broadcast, and the corpus is read in one pass;
-of larger sets the fingerprints are joined with those of the corpus, and only pairs that share one are compared.
+of larger sets the fingerprints are joined with those of the corpus. There the fingerprints that more than ``COMMON`` items
+have, counted over all items, bring a pair together only where a run may go on beyond a misread word, as long as what they
+cover, with the K + W - 2 words on either side, is less than ``SHARE`` of the item: it can't be held by known runs of them alone.
 
 Cases: null and empty texts share nothing; items of fewer than ``RUN`` words can't be found; repeated rows of one id
 count once; very long texts are read whole, and of extra columns nothing is read; in scripts without blanks every letter is
@@ -31,13 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millsheet.session import cut
+
 K, W, RUN, SHARE = 3, 3, 8, 0.5
-#: Texts that may have a fingerprint that is always looked up: items, or documents once some have been read.
+#: Items that may have a fingerprint that brings together all its pairs in the join.
 COMMON = 3
 #: Letters of all items together up to which they are broadcast.
 ITEM_LETTERS = 20_000_000
-#: Documents that are searched at once, and from whose first ones a worker learns which fingerprints are common.
-BATCH, LEARN = 400, 2000
+#: Documents that are searched at once, and hits that are seen at once.
+BATCH, HITS = 400, 100_000
+#: Words on either side of a fingerprint that are seen with it: those a run may have without another one, the next, and its other part.
+NEAR = W + 1
 
 _CLASSES = str.maketrans("oe0cvij1tf|lmrhn568bgq9z2", "aaaauillllllnnnnsbbbgggss".replace("l", "i"))
 _DIVIDED = re.compile(r"[-‐‑\u00ad¬](?<=[^\W\d_].)\s*\n\s*(?=[^\W\d_])|\u00ad")
@@ -65,6 +71,54 @@ class _Hashes(dict):
         return h
 
 
+_LETTERS, _LENGTH = np.uint64((1 << 32) - 64), np.uint64(63)
+
+
+class _Codes(dict):
+    """64 bits of each word: a hash, the set of its letters (26), and its length (6); forgets when it gets large."""
+
+    def __missing__(self, w: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        letters = 0
+        for c in w:
+            letters |= 64 << ord(c) % 26
+        c = self[w] = (xxhash.xxh32_intdigest(w) << 32) | letters | min(len(w), 63)
+        return c
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether words of these codes can be the ``same``; false only where they can't."""
+    x, y = (a & _LENGTH).astype(np.int64), (b & _LENGTH).astype(np.int64)
+    return (np.bitwise_count((a ^ b) & _LETTERS) <= 3) & np.where(x == y, x > 1, (abs(x - y) == 1) & (np.maximum(x, y) >= 4))
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a | b) & _LETTERS) | np.minimum((a & _LENGTH) + (b & _LENGTH), _LENGTH)
+
+
+def reach(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of hits (codes of their words and the ``NEAR`` words around, in the text and in the item): equal words on the left and on
+    the right, ``W`` at most, and whether the run may go on beyond a word that isn't equal.
+
+    With ``W`` equal words on a side another hit stands in them, which tells the rest.
+    """
+    same_word = doc == item
+    goes_on = ~same_word[:, NEAR : NEAR + K].all(axis=1)
+    sizes = []
+    for first, step in ((NEAR - 1, -1), (NEAR + K, 1)):
+        size = np.zeros(len(doc), np.int64)
+        for w in range(W):
+            size += (size == w) & same_word[:, first + step * w]
+        sizes.append(size)
+        k = np.flatnonzero(size < W)
+        at = first + step * size[k]
+        d, i, d1, i1 = doc[k, at], item[k, at], doc[k, at + step], item[k, at + step]
+        inside = ((d & _LENGTH) > 0) & ((i & _LENGTH) > 0)
+        goes_on[k] |= inside & (_alike(d, i) | _alike(_joined(d, d1), i) | _alike(d, _joined(i, i1)))
+    return sizes[0], sizes[1], goes_on
+
+
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -82,6 +136,7 @@ class Texts:
         self.ends = np.r_[self.starts[1:], len(self.words)][: len(texts)] - 1
         self.h = np.fromiter(map(hashes.__getitem__, self.words), np.uint64, len(self.words))
         self.h[self.ends] = end
+        self.end = end
         self.of = np.repeat(np.arange(len(texts)), self.ends + 1 - self.starts)
 
     def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
@@ -104,6 +159,24 @@ class Texts:
         at = np.unique(at + views.argmin(axis=0))
         return h[at], at
 
+    def code(self, codes: dict[str, int], at: np.ndarray) -> np.ndarray:
+        """Codes of the words that ``near`` sees around the fingerprints at these places; those of other words may be missing."""
+        size = len(self.words)
+        sought = np.zeros(size + K + 2 * NEAR, bool)
+        for k in range(K + 2 * NEAR):
+            sought[at + k] = True
+        sought = np.flatnonzero(sought[NEAR : NEAR + size])
+        # what is beyond a text has no length and is no word of other texts
+        out = np.full(size + K + 2 * NEAR, self.end << 32, np.uint64)
+        out[NEAR + sought] = np.fromiter((codes[self.words[p]] for p in sought.tolist()), np.uint64, len(sought))
+        out[NEAR + self.ends] = self.end << 32
+        return out
+
+
+def near(code: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Codes of the words of the fingerprints at these places and of the ``NEAR`` words before and after."""
+    return code[at[:, None] + np.arange(K + 2 * NEAR)]
+
 
 def same(a: str, b: str) -> bool:
     """Whether two words are one but for a misread letter."""
@@ -152,9 +225,10 @@ def _extend(doc: list[str], item: list[str], p: int, q: int, step: int) -> list[
 
 
 def looked_up(at: np.ndarray, count: np.ndarray, size: int) -> np.ndarray:
-    """Which fingerprints (places in the item, texts that have them) of an item of ``size`` words are looked up.
+    """Which fingerprints (places in the item, items that have them) of an item of ``size`` words bring together all their pairs.
 
-    The commonest aren't, as long as what they cover can't be enough of the item: the rest has to be met elsewhere.
+    The commonest don't, as long as what they cover can't be enough of the item: the rest has to be met elsewhere, or by a run
+    that goes on beyond a misread word.
     """
     keep = np.ones(len(at), bool)
     covered = np.zeros(size, bool)
@@ -179,39 +253,12 @@ class Items:
         h, at = t.fingerprints()
         order = np.argsort(h, kind="stable")
         self.h, self.at = h[order], at[order]
-        # of every fingerprint the number of items that have it
-        pairs = np.unique(np.stack([self.h, t.of[self.at].astype(np.uint64)], 1), axis=0)[:, 0] if len(h) else h
-        hashes, count = np.unique(pairs, return_counts=True)
-        self.learned = 0
-        self.met = np.zeros(len(h), np.int64)
-        self.keep = np.ones(len(h), bool)
-        self._choose(count[np.searchsorted(hashes, self.h)] if len(h) else count)
-
-    def _choose(self, count: np.ndarray) -> None:
-        """Chooses the fingerprints that are looked up, by how common they are; what is found doesn't depend on it."""
-        own = self.texts.of[self.at]
-        by_item = np.argsort(own, kind="stable")
-        for g in np.split(by_item, np.flatnonzero(np.diff(own[by_item])) + 1) if len(own) else []:
-            if (count[g] > COMMON).any():
-                self.keep[g] = looked_up(self.at[g] - self.texts.starts[own[g[0]]], count[g], int(self.sizes[own[g[0]]]))
-        self.sought = np.unique(self.h[self.keep])
-        # most fingerprints of a document aren't sought: one bit of their hash tells
-        self.bits = np.uint64(max(10, int(np.ceil(np.log2(max(1, len(self.sought))))) + 4))
+        self.code = t.code(_Codes(), self.at)
+        # most fingerprints of a document are no item's: one bit of their hash tells
+        self.bits = np.uint64(max(10, int(np.ceil(np.log2(max(1, len(h))))) + 4))
         self.maybe = np.zeros(1 << int(self.bits), bool)
-        self.maybe[(self.sought >> (np.uint64(64) - self.bits)).astype(np.int64)] = True
-
-    def _learn(self, h: np.ndarray, texts: int) -> None:
-        """Counts fingerprints in the first texts, as what is common in the corpus costs most; then chooses again."""
-        self.learned += texts
-        self.met += np.searchsorted(h, self.h, side="right") - np.searchsorted(h, self.h)
-        if self.learned >= LEARN:
-            self._choose(self.met)
-
-    def _hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in ``h``, place in the index) of every two equal hashes."""
-        lo, hi = np.searchsorted(self.h, h), np.searchsorted(self.h, h, side="right")
-        n = hi - lo
-        return np.repeat(np.arange(len(h)), n), np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        self.maybe[(self.h >> (np.uint64(64) - self.bits)).astype(np.int64)] = True
+        self.codes = _Codes()
 
     def search(self, texts: list[str | None], hashes: dict[str, int]) -> list[tuple[int, int]]:
         """(place of the text, place of the item) for every text that holds an item."""
@@ -219,25 +266,42 @@ class Items:
         h, at = docs.fingerprints()
         if not len(h) or not len(self.h):
             return []
-        if self.learned < LEARN:
-            self._learn(np.sort(h), len(texts))
-        # pairs that share a fingerprint that is looked up
         maybe = np.flatnonzero(self.maybe[(h >> (np.uint64(64) - self.bits)).astype(np.int64)])
-        a, b = self._hits(h[maybe])
-        own = self.keep[b]
-        wanted = np.unique(docs.of[at[maybe[a[own]]]] * len(self.ids) + self.texts.of[self.at[b[own]]])
-        if not len(wanted):
+        h, at = h[maybe], at[maybe]
+        lo, hi = np.searchsorted(self.h, h), np.searchsorted(self.h, h, side="right")
+        met = hi > lo
+        at, lo, n = at[met], lo[met], (hi - lo)[met]
+        if not len(at):
             return []
-        # all fingerprints of these documents, in these pairs only
-        some = np.flatnonzero(np.isin(docs.of[at], wanted // len(self.ids)))
-        a, b = self._hits(h[some])
-        x, y = at[some[a]], self.at[b]
+        code = docs.code(self.codes, at)
+        # whole documents with about as many hits as are seen at once
+        first = np.r_[True, np.diff(docs.of[at]) > 0]
+        before = (np.cumsum(n) - n)[first] // HITS
+        cuts = np.flatnonzero(first)[1:][np.diff(before) > 0]
+        out = []
+        for place, low, m in zip(*(np.split(c, cuts) for c in (at, lo, n))):
+            x, y = np.repeat(place, m), self.at[np.repeat(low - (np.cumsum(m) - m), m) + np.arange(m.sum())]
+            out += self._compare(docs, code, x, y)
+        return out
+
+    def _compare(self, docs: Texts, code: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+        """As ``search``, of all hits (places in the texts, in the items) of some texts."""
         pair = docs.of[x] * len(self.ids) + self.texts.of[y]
+        seen = [reach(near(code, x[k : k + HITS]), near(self.code, y[k : k + HITS])) for k in range(0, len(x), HITS)]
+        left, right, goes_on = (np.concatenate(c) for c in zip(*seen))
+        # of pairs without a run that may go on, the places that the known runs cover; equal words that go further are in the next hits
+        some = np.flatnonzero((left == W) | (right == W) | (left + K + right >= RUN))
+        some = some[np.lexsort((y[some] - left[some], pair[some]))]
+        pairs, rank = np.unique(pair[some], return_inverse=True)
+        begin, end = ((rank * (len(self.texts.words) + 1) + y[some] + d) for d in (-left[some], K + right[some]))
+        covered = np.maximum(0, end - np.maximum(begin, np.r_[0, np.maximum.accumulate(end)[:-1]])) if len(some) else end
+        enough = np.bincount(rank, covered, len(pairs)) >= SHARE * self.sizes[pairs % len(self.ids)]
+        wanted = np.union1d(pairs[enough], pair[goes_on])
         inside = np.isin(pair, wanted)
         x, y, pair = x[inside], y[inside], pair[inside]
         order = np.lexsort((x, x - y, pair))
         out = []
-        for g in np.split(order, np.flatnonzero(np.diff(pair[order])) + 1):
+        for g in np.split(order, np.flatnonzero(np.diff(pair[order])) + 1) if len(order) else []:
             d, i = divmod(int(pair[g[0]]), len(self.ids))
             p0, q0 = int(docs.starts[d]), int(self.texts.starts[i])
             if self._holds(docs.words[p0 : int(docs.ends[d])], self.words[i], [(p - p0, q - q0) for p, q in zip(x[g].tolist(), y[g].tolist())]):
@@ -287,29 +351,53 @@ def _in_one_pass(documents: DataFrame, items: DataFrame) -> DataFrame:
     return documents.mapInArrow(search, _PAIRS).distinct()
 
 
+def _lists(codes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1) * codes.shape[1], pa.int32()), pa.array(codes.reshape(-1).view(np.int64)))
+
+
 def _by_join(documents: DataFrame, items: DataFrame) -> DataFrame:
-    def prints(column: str):  # noqa: ANN202
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = _Hashes()
-            for whole in batches:
-                for k in range(0, whole.num_rows, BATCH):
-                    b = whole.slice(k, BATCH)
-                    t = Texts([words_of(x or "") for x in b.column("text").to_pylist()], hashes, 1)
-                    h, at = t.fingerprints()
-                    own = t.of[at]
-                    size = t.ends - t.starts
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(b.column(column).to_pylist(), np.int64)[own]), pa.array(size[own].astype(np.int32)), pa.array(h.view(np.int64)), pa.array((at - t.starts[own]).astype(np.int32))], names=[column, "size", "h", "p"])
-
-        return run
+    def texts(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[tuple[pa.RecordBatch, Texts]]:
+        hashes = _Hashes()
+        for whole in batches:
+            for k in range(0, whole.num_rows, BATCH):
+                b = whole.slice(k, BATCH)
+                yield b, Texts([words_of(x or "") for x in b.column("text").to_pylist()], hashes, end)
+
+    def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        for b, t in texts(batches, 2):
+            h, at = t.fingerprints()
+            own = t.of[at]
+            ids = np.array(b.column("item_id").to_pylist(), np.int64)[own]
+            size, p = (t.ends - t.starts)[own].astype(np.int32), (at - t.starts[own]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(size), pa.array(h.view(np.int64)), pa.array(p), _lists(near(t.code(codes, at), at))], names=["item_id", "size", "h", "p", "near"])
+
+    def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, t in texts(batches, 1):
+            h, at = t.fingerprints()
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(b.column("doc_id").to_pylist(), np.int64)[t.of[at]]), pa.array(h.view(np.int64))], names=["doc_id", "h"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for i, size, fs in zip(b.column("item_id").to_pylist(), b.column("size").to_pylist(), b.column("fs").to_pylist()):
-                h, p = np.array([f["h"] for f in fs], np.int64), np.array([f["p"] for f in fs], np.int64)
-                keep = looked_up(p, np.array([f["c"] for f in fs], np.int64), size)
-                out += [(i, x) for x in h[keep].tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["item_id", "h"])
+                p, c = np.array([f["p"] for f in fs], np.int64), np.array([f["c"] for f in fs], np.int64)
+                out += [(i, f["h"], None if keep else f["near"]) for f, keep in zip(fs, looked_up(p, c, size).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.int64()))], names=["item_id", "h", "near"])
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        for b, t in texts(batches, 1):
+            h, at = t.fingerprints()
+            hs = [set(x) for x in b.column("hs").to_pylist()]
+            some = np.array([x in hs[d] for x, d in zip(h.view(np.int64).tolist(), t.of[at].tolist())], bool)
+            h, at = h[some], at[some]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(b.column("doc_id").to_pylist(), np.int64)[t.of[at]]), pa.array(h.view(np.int64)), _lists(near(t.code(codes, at), at))], names=["doc_id", "h", "near"])
+
+    def going_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, item = (b.column(c).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, K + 2 * NEAR) for c in ("near", "other"))
+            yield b.select(["doc_id", "item_id"]).filter(pa.array(reach(doc, item)[2]))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -317,11 +405,18 @@ def _by_join(documents: DataFrame, items: DataFrame) -> DataFrame:
             got = [(d, i) for d, i, t, x in zip(*(b.column(c).to_pylist() for c in ("doc_id", "item_id", "text", "item"))) if Items([(i, x)]).found(t, hashes)]
             yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.int64()) for k in (0, 1)], names=["doc_id", "item_id"])
 
-    own = items.mapInArrow(prints("item_id"), "item_id long, size int, h long, p int")
+    own = items.mapInArrow(of_items, "item_id long, size int, h long, p int, near array<long>")
     count = own.groupBy("h").agg(F.countDistinct("item_id").alias("c"))
     # an item's fingerprints are bounded by its own length
-    sought = own.join(count, "h").groupBy("item_id", "size").agg(F.collect_list(F.struct("h", "p", "c")).alias("fs")).mapInArrow(choose, "item_id long, h long").distinct()
-    pairs = documents.mapInArrow(prints("doc_id"), "doc_id long, size int, h long, p int").select("doc_id", "h").join(sought, "h").select("doc_id", "item_id").distinct()
+    sought = cut(own.join(count, "h").groupBy("item_id", "size").agg(F.collect_list(F.struct("h", "p", "c", "near")).alias("fs")).mapInArrow(choose, "item_id long, h long, near array<long>").distinct())
+    common = sought.where("near is not null")
+    # the corpus is read once for all fingerprints; of the common ones the rows say only that a document has them
+    wanted = sought.where("near is null").select("item_id", "h").union(common.select(F.lit(None).cast("long").alias("item_id"), "h")).distinct()
+    met = cut(documents.mapInArrow(of_documents, "doc_id long, h long").join(wanted, "h").select("doc_id", "item_id", F.when(F.col("item_id").isNull(), F.col("h")).alias("h")).distinct())
+    has = met.where("item_id is null").groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
+    seen = documents.join(has, "doc_id").mapInArrow(around, "doc_id long, h long, near array<long>").distinct()
+    weak = seen.join(common.withColumnRenamed("near", "other"), "h").select("doc_id", "item_id", "near", "other").mapInArrow(going_on, _PAIRS)
+    pairs = met.where("item_id is not null").select("doc_id", "item_id").union(weak).distinct()
     return pairs.join(documents, "doc_id").join(items.withColumnRenamed("text", "item"), "item_id").mapInArrow(compare, _PAIRS).distinct()
 
 

@@ -1,6 +1,9 @@
 import random
 
-from millsheet.llm.leakage import BATCH, RUN, SHARE, Items, _Hashes, find_leaks, same, words_of
+import pytest
+
+from millsheet.llm import leakage
+from millsheet.llm.leakage import BATCH, RUN, SHARE, Items, Texts, _Hashes, find_leaks, same, words_of
 
 RNG = random.Random(5)
 VOCAB = ["".join(RNG.choice("bcdfghklmnprstvz") + RNG.choice("aeiou") for _ in range(RNG.randint(2, 4))) for _ in range(400)]
@@ -74,3 +77,65 @@ def test_scripts_without_blanks(spark):
     assert len(words_of(text)) == len(text)
     d = spark.createDataFrame([(1, "前文。" + text[:30] + "別の文"), (2, text[:10] + "別の文"), (3, "ไม่พบรอยแตก")], "doc_id long, text string")
     assert [tuple(r) for r in find_leaks(d, spark.createDataFrame([(7, text)], "item_id long, text string")).collect()] == [(1, 7)]
+
+
+def _misread(w):
+    return w[:-1] + ("k" if w[-1] != "k" else "x")
+
+
+def _after_a_shared_sentence():
+    """Items that begin with one sentence, and texts that have it and then one item's words, every third misread; two words in one, one in two."""
+    shared = [RNG.choice(VOCAB) for _ in range(14)]
+    rest = [[RNG.choice(VOCAB) for _ in range(26)] for _ in range(8)]
+    items = [(k, " ".join(shared + r)) for k, r in enumerate(rest)]
+    texts = [" ".join(shared + [_misread(w) if j % 3 == 0 else w for j, w in enumerate(r)]) for r in rest]
+    texts.append(" ".join([*shared, rest[0][0] + rest[0][1], *(_misread(w) if j % 3 == 0 else w for j, w in enumerate(rest[0][2:]))]))
+    texts.append(" ".join([*shared, rest[1][0][:2], rest[1][0][2:], *(_misread(w) if j % 3 == 0 else w for j, w in enumerate(rest[1][1:]))]))
+    return " ".join(shared), items, texts, {*((k, k) for k in range(8)), (8, 0), (9, 1)}
+
+
+def test_what_other_texts_have_decides_nothing():
+    shared, items, texts, want = _after_a_shared_sentence()
+    for those in (items, items[:2]):
+        index, hashes = Items(those), _Hashes()
+        for k in range(0, 2400, BATCH):
+            index.search([f"{shared} wort{j}" for j in range(k, k + BATCH)], hashes)
+        assert set(index.search(texts, hashes)) == {(d, i) for d, i in want if i < len(those)}
+
+
+def test_join_finds_runs_that_go_on_from_a_shared_sentence(spark):
+    shared, items, texts, want = _after_a_shared_sentence()
+    d = spark.createDataFrame([*enumerate(texts), *((100 + j, f"{shared} wort{j}") for j in range(50)), (0, "another text")], "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    for letters in (0, 10**6):
+        assert {tuple(r) for r in find_leaks(d, i, item_letters=letters).collect()} == want
+
+
+@pytest.mark.parametrize("hits", [1, 300, 100_000])
+def test_pairs_that_are_left_out_hold_nothing(monkeypatch, hits):
+    """Every pair that shares a fingerprint is extended; the search, which extends few, must find the same."""
+    monkeypatch.setattr(leakage, "HITS", hits)
+    rng = random.Random(11)
+    few = [rng.choice(VOCAB) for _ in range(30)] + ["m", "rn", "of", "af", "o0o0", "0o0o", "o", "a"]
+    sentences = [[rng.choice(few) for _ in range(rng.randint(3, 14))] for _ in range(12)]
+
+    def draw():
+        return [w for _ in range(rng.randint(1, 5)) for w in rng.choice(sentences)]
+
+    def worn(w):
+        r = rng.random()
+        return _misread(w) if r < 0.15 else w[:2] + " " + w[2:] if r < 0.2 else w
+
+    items = [(k, " ".join(draw())) for k in range(60)]
+    texts = [" ".join(worn(w) for w in draw()) for _ in range(200)]
+    index, hashes = Items(items), _Hashes()
+    want = set()
+    for d, text in enumerate(texts):
+        t = Texts([words_of(text)], hashes, 1)
+        h, at = t.fingerprints()
+        for i, words in enumerate(index.words):
+            of = [(int(y), int(index.at[k]) - int(index.texts.starts[i])) for x, y in zip(h, at) for k in range(*index.h.searchsorted([x, x + 1])) if index.texts.of[index.at[k]] == i] if len(h) else []
+            if of and Items._holds(t.words[:-1], words, sorted(of, key=lambda z: (z[0] - z[1], z[0]))):
+                want.add((d, i))
+    assert len(want) > 100
+    assert set(index.search(texts, hashes)) == want
