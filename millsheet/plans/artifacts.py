@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from millsheet import streaming
 from millsheet.functions import pages as P
 from millsheet.functions import rules
+from millsheet.operators import columnar, providers, runs, udtf
 from millsheet.operators import extract as X
-from millsheet.operators import providers, runs, udtf
 from millsheet.operators import score as S
 from millsheet.plans import reference as R
 from millsheet.plans.corpus import WITH, corpus
@@ -46,8 +46,7 @@ _CANDIDATES_SQL = f"""{R._best_cte(rules.FIELDS)} SELECT doc, CAST(row_number()
 @query(_CANDIDATES_SQL)
 def extraction_documents(spark: SparkSession, sf: str) -> DataFrame:
     """All candidates of every extraction document, in their order."""
-    d = X.extract_with_candidates(corpus(spark, sf).select("doc", "text"))
-    return d.select("doc", F.posexplode("all_candidates").alias("position", "c")).select("doc", "position", "c.*")
+    return columnar.candidates(corpus(spark, sf).select("doc", "text"))
 
 
 @query(_CANDIDATES_SQL)
